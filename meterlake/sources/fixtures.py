@@ -94,3 +94,113 @@ def readings_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings_large_gold(spark: SparkSession, sf_dir: str) -> Gold:
     return build_gold(readings_large(spark, sf_dir))
+
+
+# --------------------------------------------------------------------- F3
+# Fixed values of the cells fixture: the workbook number of each event type,
+# the second workbook that re-exports sheet 0 of hall H1 (last writer wins),
+# and the title of its empty sheet.
+F3_HALL_NO = {"click": 1, "error": 2, "purchase": 3, "signup": 7, "view": 8}
+F3_REWRITE_FILE = "Export_H1_zz.xlsx"
+F3_REWRITE_FROM = "view"
+F3_EMPTY_SHEET = "Leer"
+
+
+def _two(c) -> F.Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def dayfirst_text(ts) -> F.Column:
+    """``dd.MM.yyyy HH:mm:ss`` from date parts (no session-zone round trip)."""
+    return F.concat(_two(F.dayofmonth(ts)), F.lit("."), _two(F.month(ts)), F.lit("."),
+                    F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit(" "),
+                    _two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)), F.lit(":"),
+                    _two(F.floor(F.second(ts))))
+
+
+def _cell(row, col, value, kind, when=None) -> F.Column:
+    s = F.struct(F.lit(row).cast("long").alias("row_no") if not isinstance(row, F.Column)
+                 else row.cast("long").alias("row_no"),
+                 F.lit(col).alias("col_no"), value.alias("value"), F.lit(kind).alias("kind"))
+    return s if when is None else F.when(when, s)
+
+
+def _header_cells(layout) -> F.Column:
+    """Rows 2-4 of a sheet with the given layout number (0-7)."""
+    k = layout
+    odd = (k % 2) == 1
+    label = (F.when(k == 4, F.lit("Leistung"))
+             .when(odd, F.lit("Wirkleistung [30 m]"))
+             .otherwise(F.lit("Wirkleistung [15 m]")))
+    return F.array(
+        _cell(2, 0, F.lit("570"), "n"),
+        _cell(2, 1, F.concat(F.lit("Z "), (k + 100).cast("string")), "s"),
+        _cell(2, 2, F.concat(F.lit("Lade "), k.cast("string")), "s", when=k != 3),
+        _cell(3, 0, F.lit(" Zeitbereich"), "s", when=odd),
+        _cell(3, 1, label, "s"),
+        _cell(4, 0, F.when(k == 2, F.lit("Datum/Zeit")).otherwise(F.lit("Zeitbereich")), "s",
+              when=~odd),
+        _cell(4, 1, F.lit(" Wert "), "s"),
+    )
+
+
+def _data_cells(event_id, ts, value, layout) -> F.Column:
+    row = F.lit(5) + event_id
+    t = F.when(event_id % 50 == 2, F.lit("Summe")).otherwise(dayfirst_text(ts))
+    missing = event_id % 20 == 1
+    junk = (layout == 6) & (event_id % 3 == 0)
+    v = (F.when(missing, F.lit("#N/A")).when(junk, F.lit("x"))
+         .otherwise(F.format_string("%.2f", value)))
+    kind = F.when(missing | junk, F.lit("s")).otherwise(F.lit("n"))
+    return F.array(
+        F.struct(row.cast("long").alias("row_no"), F.lit(0).alias("col_no"),
+                 t.alias("value"), F.lit("s").alias("kind")),
+        F.struct(row.cast("long").alias("row_no"), F.lit(1).alias("col_no"),
+                 v.alias("value"), kind.alias("kind")),
+    )
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events laid out as workbook cells (schema.CELLS), see FIXTURES.md F3.
+
+    One workbook per event type, one sheet per ``user_id % 8``, one data row
+    per event (row ``5 + event_id``: unique per sheet without a window).
+    A second workbook ``Export_H1_zz.xlsx`` re-exports sheet ``Z 100 (m)`` of
+    hall H1 with the view events of slot 0 and holds one empty sheet.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type", "user_id")
+    hall_no = F.create_map(*[x for k, v in F3_HALL_NO.items() for x in (F.lit(k), F.lit(v))])
+    slot = (F.col("user_id") % 8).cast("int")
+    src = F.concat(F.lit("Export_H"), hall_no[F.col("event_type")].cast("string"),
+                   F.lit("_"), F.col("event_type"), F.lit(".xlsx"))
+    base = ev.select("event_id", "ts", "value", src.alias("src_file"),
+                     slot.alias("sheet_idx"), slot.alias("layout"))
+    rewrite = (ev.where((F.col("event_type") == F3_REWRITE_FROM) & (slot == 0))
+               .select("event_id", "ts", "value", F.lit(F3_REWRITE_FILE).alias("src_file"),
+                       F.lit(0).alias("sheet_idx"), F.lit(0).alias("layout")))
+    data_src = base.unionByName(rewrite)
+
+    def sheet_name(k):
+        return F.concat(F.lit("Z "), (k + 100).cast("string"), F.lit(" (m)"))
+
+    # Header cells: one set per distinct sheet (partial + final aggregate,
+    # output bounded by files x sheets), plus the empty sheet.
+    sheets = data_src.select("src_file", "sheet_idx", "layout").distinct()
+    sheets = sheets.select("src_file", "sheet_idx", sheet_name(F.col("layout")).alias("sheet_name"),
+                           "layout")
+    # The re-export workbook's sheet 0 is one distinct row; its empty sheet
+    # sits next to it as sheet 1.
+    empty = (sheets.where((F.col("src_file") == F3_REWRITE_FILE) & (F.col("sheet_idx") == 0))
+             .select("src_file", F.lit(1).alias("sheet_idx"),
+                     F.lit(F3_EMPTY_SHEET).alias("sheet_name"), F.lit(0).alias("layout")))
+    head = (sheets.unionByName(empty)
+            .select("src_file", "sheet_idx", "sheet_name",
+                    F.explode(_header_cells(F.col("layout"))).alias("c"))
+            .where(F.col("c").isNotNull()))
+    body = data_src.select("src_file", "sheet_idx", sheet_name(F.col("layout")).alias("sheet_name"),
+                           F.explode(_data_cells(F.col("event_id"), F.col("ts"), F.col("value"),
+                                                 F.col("layout"))).alias("c"))
+    out = head.unionByName(body)
+    return out.select("src_file", "sheet_idx", "sheet_name",
+                      F.col("c.row_no").alias("row_no"), F.col("c.col_no").alias("col_no"),
+                      F.col("c.value").alias("value"), F.col("c.kind").alias("kind"))
