@@ -1,0 +1,8 @@
+"""Sinks: the lake writers (bronze, silver, gold, archive, run log).
+
+They live next to their readers in ``sources.lake`` / ``sources.workbook``;
+this package re-exports the writing side.
+"""
+
+from ..sources.lake import append_run_log, write_bronze, write_gold, write_silver  # noqa: F401
+from ..sources.workbook import archive  # noqa: F401
