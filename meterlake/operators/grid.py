@@ -5,11 +5,12 @@ Input is the long ``cells`` table (one row per non-empty cell, see
 Every step is a grouping or join over that table, so all sheets of all
 workbooks are handled by one plan instead of a loop per sheet:
 
+* ``column_profile`` ONE aggregate over the cells per (sheet, column): texts
+                    of rows 2-4 and the 80 %-rule counts of the data cells
 * ``sheet_meta``    rows 2-3 -> meter name/desc, interval label and minutes,
-                    header-patch flag (one small aggregate over two rows/sheet)
+                    header-patch flag (from the profile)
 * ``column_info``   header names (row 4, patched, ``col_<j>`` fallback,
-                    duplicates disambiguated) + 80 %-rule typing per column
-                    (one partial/final aggregate over the data cells)
+                    duplicates disambiguated) + typing per column
 * ``sheet_roles``   time and value column of each sheet
 * ``records``       data cells grouped per (sheet, row) into a name -> text map
                     plus the typed role values
@@ -36,23 +37,50 @@ from ..schema import (DEFAULT_INTERVAL_MINUTES, HEADER_ROW, INTERVAL_PATTERN,
 S = ["src_file", "sheet_idx"]
 
 
+# One pass over the cells ------------------------------------------------------
+def column_profile(cells: DataFrame) -> DataFrame:
+    """Everything the metadata steps need, in ONE aggregate over the cells:
+    per (sheet, column) the text of rows 2 and 3 (non-blank text cells only),
+    the row-4 header cell, and the 80 %-rule counts over the data cells.
+
+    A column holds at most one cell per row, so ``max`` of a filtered value
+    is that cell. The aggregate runs partial-then-final: a column of a huge
+    sheet shrinks to one row per task before the shuffle. Its output (sheets
+    x columns) is small next to the cells; every later metadata step works on
+    it instead of scanning the cells again.
+    """
+    v = F.col("value")
+    row = F.col("row_no")
+    text = (F.col("kind") == "s") & (strip(v) != "")
+    data = row > HEADER_ROW
+    dv = F.when(data, missing_to_null(v))
+    return cells.groupBy(*S, "col_no").agg(
+        F.max("sheet_name").alias("sheet_name"),
+        F.max(F.when((row == NAME_ROW) & text, v)).alias("r2"),
+        F.max(F.when((row == LABEL_ROW) & text, v)).alias("r3"),
+        F.max(F.when(row == HEADER_ROW, v)).alias("r4"),
+        F.count(dv).alias("n_present"),
+        F.count(F.when(is_number_text(dv), 1)).alias("n_numeric"),
+        F.max(data).alias("has_data"),
+    )
+
+
 # BR-1 .. BR-4 ----------------------------------------------------------------
-def sheet_meta(cells: DataFrame) -> DataFrame:
+def sheet_meta(cells: DataFrame | None = None, *, profile: DataFrame | None = None) -> DataFrame:
     """Per sheet: meter_name / meter_desc (1st and 2nd non-blank text cell of
     row 2; numbers ignored), interval_label (first row-3 text with ``[n m]``,
     else the last row-3 text, else ''), interval_minutes, header_patch (a
-    row-3 text equal to the time header)."""
-    top = cells.where(F.col("row_no").isin(NAME_ROW, LABEL_ROW)
-                      & (F.col("kind") == "s") & (strip(F.col("value")) != ""))
-    r2 = F.col("row_no") == NAME_ROW
-    r3 = F.col("row_no") == LABEL_ROW
-    names = F.sort_array(F.collect_list(F.when(r2, F.struct("col_no", "value"))))
-    agg = top.groupBy(*S).agg(
-        names.alias("_names"),
-        F.min_by("value", F.when(r3 & F.col("value").rlike(INTERVAL_PATTERN), F.col("col_no")))
-         .alias("_lab_hit"),
-        F.max_by("value", F.when(r3, F.col("col_no"))).alias("_lab_last"),
-        F.max(r3 & (F.lower(strip(F.col("value"))) == TIME_HEADER)).alias("header_patch"),
+    row-3 text equal to the time header). Sheets without any row-2/3 text
+    have no row."""
+    p = column_profile(cells) if profile is None else profile
+    r3 = F.col("r3")
+    agg = p.where(F.col("r2").isNotNull() | r3.isNotNull()).groupBy(*S).agg(
+        F.sort_array(F.collect_list(F.when(F.col("r2").isNotNull(),
+                                           F.struct("col_no", F.col("r2").alias("value")))))
+         .alias("_names"),
+        F.min_by(r3, F.when(r3.rlike(INTERVAL_PATTERN), F.col("col_no"))).alias("_lab_hit"),
+        F.max_by(r3, F.when(r3.isNotNull(), F.col("col_no"))).alias("_lab_last"),
+        F.max(F.lower(strip(r3)) == TIME_HEADER).alias("header_patch"),
     )
     label = F.coalesce("_lab_hit", "_lab_last", F.lit(""))
     return agg.select(
@@ -78,22 +106,24 @@ def data_cells(cells: DataFrame) -> DataFrame:
             .withColumn("value", missing_to_null(F.col("value"))))
 
 
-def column_stats(cells: DataFrame) -> DataFrame:
-    """Per (sheet, column): present / numeric counts and the 80 % verdict.
-
-    ``numeric`` when n_present > 0 and n_numeric >= max(1, int(0.8 *
-    n_present)) — the truncating rule, so 1 numeric cell of 2 passes.
-    """
-    d = data_cells(cells)
-    st = d.groupBy(*S, "col_no").agg(
-        F.first("sheet_name").alias("sheet_name"),
-        F.count("value").alias("n_present"),
-        F.count(F.when(is_number_text(F.col("value")), 1)).alias("n_numeric"))
+def _numeric(p: DataFrame) -> F.Column:
+    """``numeric`` when n_present > 0 and n_numeric >= max(1, int(0.8 *
+    n_present)) — the truncating rule, so 1 numeric cell of 2 passes."""
     need = F.greatest(F.lit(1), F.floor(F.lit(NUMERIC_SHARE) * F.col("n_present")).cast("bigint"))
-    return st.withColumn("numeric", (F.col("n_present") > 0) & (F.col("n_numeric") >= need))
+    return (F.col("n_present") > 0) & (F.col("n_numeric") >= need)
+
+
+def column_stats(cells: DataFrame | None = None, *, profile: DataFrame | None = None) -> DataFrame:
+    """Per (sheet, column) with data cells: present / numeric counts and the
+    80 % verdict."""
+    p = column_profile(cells) if profile is None else profile
+    return (p.where(F.col("has_data"))
+            .select(*S, "col_no", "sheet_name", "n_present", "n_numeric",
+                    _numeric(p).alias("numeric")))
 
 
-def column_info(cells: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+def column_info(cells: DataFrame | None = None, meta: DataFrame | None = None, *,
+                profile: DataFrame | None = None) -> DataFrame:
     """Header name and type of every column of every sheet.
 
     Columns are those with a header cell or any data. Names: the row-4 cell
@@ -101,22 +131,19 @@ def column_info(cells: DataFrame, meta: DataFrame | None = None) -> DataFrame:
     when the sheet's row 3 carries it (header patch). A repeated name keeps
     its first column and becomes ``<name>_<j>`` after that.
     """
-    meta = sheet_meta(cells) if meta is None else meta
-    head = (cells.where(F.col("row_no") == HEADER_ROW)
-            .select(*S, "col_no", F.col("value").alias("_h"), F.col("sheet_name").alias("_hs")))
-    stats = column_stats(cells)
-    cols = head.join(stats, [*S, "col_no"], "full")
-    cols = cols.join(meta.select(*S, "header_patch"), S, "left")
+    p = column_profile(cells) if profile is None else profile
+    meta = sheet_meta(profile=p) if meta is None else meta
+    cols = (p.where(F.col("r4").isNotNull() | F.col("has_data"))
+            .join(meta.select(*S, "header_patch"), S, "left"))
     patch = (F.col("col_no") == 0) & F.coalesce(F.col("header_patch"), F.lit(False))
     name = (F.when(patch, F.lit("Zeitbereich"))
-             .when(F.col("_h").isNotNull(), strip(F.col("_h")))
+             .when(F.col("r4").isNotNull(), strip(F.col("r4")))
              .otherwise(F.concat(F.lit("col_"), F.col("col_no").cast("string"))))
     cols = cols.select(
-        *S, "col_no", F.coalesce("sheet_name", "_hs").alias("sheet_name"), name.alias("_name"),
-        F.coalesce("n_present", F.lit(0)).alias("n_present"),
-        F.coalesce("n_numeric", F.lit(0)).alias("n_numeric"),
-        F.coalesce("numeric", F.lit(False)).alias("numeric"),
-        F.col("n_present").isNotNull().alias("has_data"))
+        *S, "col_no", "sheet_name", name.alias("_name"), "n_present", "n_numeric",
+        F.coalesce(_numeric(cols), F.lit(False)).alias("numeric"),
+        F.coalesce(F.col("has_data"), F.lit(False)).alias("has_data"))
+    # bounded window: one partition per (sheet, header name), a few columns
     w = Window.partitionBy(*S, "_name").orderBy("col_no")
     first = F.row_number().over(w) == 1
     return (cols.withColumn("name", F.when(first, F.col("_name")).otherwise(
@@ -200,9 +227,19 @@ def nonempty_sheets(info: DataFrame) -> DataFrame:
 
 # Whole chain ------------------------------------------------------------------
 def cells_to_bronze(cells: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
-    """cells -> bronze rows of the surviving sheets (schema.BRONZE)."""
-    meta = sheet_meta(cells)
-    info = column_info(cells, meta)
+    """cells -> bronze rows of the surviving sheets (schema.BRONZE).
+
+    The cells are read twice: once for the column profile (all metadata),
+    once for the records."""
+    return bronze_from(cells, column_profile(cells), decimal_comma=decimal_comma)
+
+
+def bronze_from(cells: DataFrame, profile: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
+    """Bronze rows from the cells and their column profile. The pipeline
+    passes a written profile table, so every metadata step below reads that
+    small table and only ``records`` touches the cells."""
+    meta = sheet_meta(profile=profile)
+    info = column_info(meta=meta, profile=profile)
     roles = sheet_roles(info)
     recs = records(cells, info, roles, decimal_comma=decimal_comma)
     sheets = sheet_ids(nonempty_sheets(info))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gold import build_gold
-from ..operators.grid import cells_to_bronze
+from ..operators.grid import bronze_from, column_profile
 from ..operators.silver import to_silver
 from ..schema import CELLS
 from ..sources import lake, workbook
@@ -29,11 +29,16 @@ def stage_cells(cells: DataFrame, root: str) -> dict:
 
 
 def ingest(cells: DataFrame, root: str, *, decimal_comma: bool = False) -> dict:
-    """cells -> staged cells -> bronze (one partition per hall and sheet key)."""
+    """cells -> staged cells -> column profile -> bronze (one partition per
+    hall and sheet key). Three jobs, each reading what the previous one
+    wrote: the cells are scanned once for the profile and once for the
+    records; all sheet metadata comes from the small profile table."""
     spark = cells.sparkSession
     m = stage_cells(cells, root)
     staged = spark.read.schema(CELLS).parquet(lake.layer_path(root, "cells"))
-    m.update(lake.write_bronze(cells_to_bronze(staged, decimal_comma=decimal_comma), root))
+    m.update(lake._write(column_profile(staged), lake.layer_path(root, "columns"), [], "columns"))
+    profile = spark.read.parquet(lake.layer_path(root, "columns"))
+    m.update(lake.write_bronze(bronze_from(staged, profile, decimal_comma=decimal_comma), root))
     return m
 
 
