@@ -168,17 +168,20 @@ def q_header_patch(spark, d):
         "src_file", "sheet_idx", "col_no", "sheet_name", "name", "has_data")
 
 
+def _sheets(spark, d):
+    return GR.sheet_table(GR.column_profile(_cells(spark, d)))
+
+
 def q_role_columns(spark, d):
-    return GR.sheet_roles(GR.column_info(_cells(spark, d)))
+    return GR.sheet_roles(_sheets(spark, d))
 
 
 def q_ids(spark, d):
-    return GR.sheet_ids(GR.nonempty_sheets(GR.column_info(_cells(spark, d))))
+    return GR.sheet_ids(GR.nonempty_sheets(_sheets(spark, d)))
 
 
 def q_last_writer(spark, d):
-    sheets = GR.sheet_ids(GR.nonempty_sheets(GR.column_info(_cells(spark, d))))
-    return GR.last_writer(sheets)
+    return GR.last_writer(GR.sheet_ids(GR.nonempty_sheets(_sheets(spark, d))))
 
 
 def _bronze(spark, d):

@@ -6,26 +6,29 @@ Every step is a grouping or join over that table, so all sheets of all
 workbooks are handled by one plan instead of a loop per sheet:
 
 * ``column_profile`` ONE aggregate over the cells per (sheet, column): texts
-                    of rows 2-4 and the 80 %-rule counts of the data cells
-* ``sheet_meta``    rows 2-3 -> meter name/desc, interval label and minutes,
-                    header-patch flag (from the profile)
-* ``column_info``   header names (row 4, patched, ``col_<j>`` fallback,
-                    duplicates disambiguated) + typing per column
-* ``sheet_roles``   time and value column of each sheet
-* ``records``       data cells grouped per (sheet, row) into a name -> text map
-                    plus the typed role values
-* ``last_writer``   per (hall, sheet key) only the last non-empty sheet in
-                    (file name, sheet order) survives
+                     of rows 2-4 and the 80 %-rule counts of the data cells
+* ``sheet_table``    ONE aggregate over the profile per sheet: the sheet's
+                     columns as a sorted array, from which array functions
+                     derive meter name/desc, interval, header patch, header
+                     names (patched, ``col_<j>`` fallback, repeats
+                     disambiguated), types, time/value roles and emptiness
+* ``last_writer``    per (hall, sheet key) only the last non-empty sheet in
+                     (file name, sheet order) survives
+* ``records``        data cells of surviving sheets, grouped per (sheet,
+                     row) into a name -> text map plus the typed role values
 * ``cells_to_bronze`` the whole chain.
 
-Groups are bounded by the sheet format itself (a row has at most 16,384
-cells, a column at most 1,048,576); aggregates run partial-then-final, and the
-per-sheet / per-column side tables are joined back as the smaller side.
+Scale: the cells are scanned twice (profile, records); everything between
+works on the profile (sheets x columns rows). Group sizes are bounded by the
+sheet format itself: a row has at most 16,384 cells, so a sheet's column
+array and a record's cell list are bounded; a column of a huge sheet is
+reduced partially per task before any shuffle. Cells of sheets that lose the
+last-writer rule are dropped by the join before the records shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import (hall_id_of, hall_label_of, is_number_text, meter_id_of,
@@ -45,9 +48,7 @@ def column_profile(cells: DataFrame) -> DataFrame:
 
     A column holds at most one cell per row, so ``max`` of a filtered value
     is that cell. The aggregate runs partial-then-final: a column of a huge
-    sheet shrinks to one row per task before the shuffle. Its output (sheets
-    x columns) is small next to the cells; every later metadata step works on
-    it instead of scanning the cells again.
+    sheet shrinks to one row per task before the shuffle.
     """
     v = F.col("value")
     row = F.col("row_no")
@@ -65,136 +66,155 @@ def column_profile(cells: DataFrame) -> DataFrame:
     )
 
 
-# BR-1 .. BR-4 ----------------------------------------------------------------
-def sheet_meta(cells: DataFrame | None = None, *, profile: DataFrame | None = None) -> DataFrame:
-    """Per sheet: meter_name / meter_desc (1st and 2nd non-blank text cell of
-    row 2; numbers ignored), interval_label (first row-3 text with ``[n m]``,
-    else the last row-3 text, else ''), interval_minutes, header_patch (a
-    row-3 text equal to the time header). Sheets without any row-2/3 text
-    have no row."""
-    p = column_profile(cells) if profile is None else profile
-    r3 = F.col("r3")
-    agg = p.where(F.col("r2").isNotNull() | r3.isNotNull()).groupBy(*S).agg(
-        F.sort_array(F.collect_list(F.when(F.col("r2").isNotNull(),
-                                           F.struct("col_no", F.col("r2").alias("value")))))
-         .alias("_names"),
-        F.min_by(r3, F.when(r3.rlike(INTERVAL_PATTERN), F.col("col_no"))).alias("_lab_hit"),
-        F.max_by(r3, F.when(r3.isNotNull(), F.col("col_no"))).alias("_lab_last"),
-        F.max(F.lower(strip(r3)) == TIME_HEADER).alias("header_patch"),
-    )
-    label = F.coalesce("_lab_hit", "_lab_last", F.lit(""))
-    return agg.select(
-        *S,
-        F.get(F.col("_names"), 0).getField("value").alias("meter_name"),
-        F.get(F.col("_names"), 1).getField("value").alias("meter_desc"),
-        label.alias("interval_label"),
-        interval_minutes(label).alias("interval_minutes"),
-        F.coalesce(F.col("header_patch"), F.lit(False)).alias("header_patch"),
-    )
+def _is_numeric(n_present: Column, n_numeric: Column) -> Column:
+    """n_present > 0 and n_numeric >= max(1, int(0.8 * n_present)) — the
+    truncating rule, so 1 numeric cell of 2 passes."""
+    need = F.greatest(F.lit(1), F.floor(F.lit(NUMERIC_SHARE) * n_present).cast("bigint"))
+    return (n_present > 0) & (n_numeric >= need)
 
 
-def interval_minutes(label) -> F.Column:
+def interval_minutes(label) -> Column:
     """BR-3: minutes from ``[15m]``-style labels, default 15."""
     m = F.regexp_extract(label, INTERVAL_PATTERN, 1)
     return F.coalesce(F.when(m != "", m).try_cast("int"), F.lit(DEFAULT_INTERVAL_MINUTES))
 
 
-# BR-5, BR-9, BR-10 -----------------------------------------------------------
-def data_cells(cells: DataFrame) -> DataFrame:
-    """Cells below the header with missing tokens nulled (BR-6, BR-9)."""
-    return (cells.where(F.col("row_no") > HEADER_ROW)
-            .withColumn("value", missing_to_null(F.col("value"))))
+def _first(arr: Column, pred) -> Column:
+    """First element of ``arr`` (sorted by column) matching ``pred``, or NULL."""
+    return F.get(F.filter(arr, pred), 0)
 
 
-def _numeric(p: DataFrame) -> F.Column:
-    """``numeric`` when n_present > 0 and n_numeric >= max(1, int(0.8 *
-    n_present)) — the truncating rule, so 1 numeric cell of 2 passes."""
-    need = F.greatest(F.lit(1), F.floor(F.lit(NUMERIC_SHARE) * F.col("n_present")).cast("bigint"))
-    return (F.col("n_present") > 0) & (F.col("n_numeric") >= need)
+def _time_hint(name: Column) -> Column:
+    lname = F.lower(strip(name))
+    hit = None
+    for h in TIME_HEADER_HINTS:
+        c = lname.contains(h)
+        hit = c if hit is None else (hit | c)
+    return hit
+
+
+# BR-1 .. BR-5, BR-10, BR-12, SV-2, SV-3 ---------------------------------------
+def sheet_table(profile: DataFrame) -> DataFrame:
+    """One row per sheet with everything the grid steps need.
+
+    Columns: S, sheet_name, meter_name / meter_desc (1st and 2nd non-blank
+    text of row 2, numbers ignored), interval_label (first row-3 text with
+    ``[n m]``, else the last row-3 text, else ''), interval_minutes,
+    header_patch (a row-3 text equal to the time header, trimmed, any case),
+    has_meta (any row-2/3 text), nonempty (any data cell), ``columns`` (array
+    of structs col_no, name, n_present, n_numeric, numeric, has_data for
+    every column with a header or data), time_col / time_name (column named
+    ``Zeitbereich``, else the first whose name contains zeit/time/date/
+    timestamp), value_col / value_name / value_numeric (column named
+    ``Wert``).
+
+    Header names: the row-4 cell stripped; ``col_<j>`` when there is none;
+    A4 becomes ``Zeitbereich`` on a header patch; a repeated name keeps its
+    first column and becomes ``<name>_<j>`` after that.
+    """
+    col = F.struct("col_no", "r2", "r3", "r4", "n_present", "n_numeric", "has_data")
+    g = profile.groupBy(*S).agg(F.max("sheet_name").alias("sheet_name"),
+                                F.sort_array(F.collect_list(col)).alias("_cols"))
+
+    cols = F.col("_cols")
+    names = F.filter(cols, lambda c: c["r2"].isNotNull())
+    r3s = F.filter(cols, lambda c: c["r3"].isNotNull())
+    hit = _first(r3s, lambda c: c["r3"].rlike(INTERVAL_PATTERN))["r3"]
+    last = F.get(r3s, F.size(r3s) - 1)["r3"]
+    label = F.coalesce(hit, last, F.lit(""))
+    patch = F.exists(r3s, lambda c: F.lower(strip(c["r3"])) == TIME_HEADER)
+    g = g.select(
+        *S, "sheet_name", "_cols",
+        F.get(names, 0)["r2"].alias("meter_name"),
+        F.get(names, 1)["r2"].alias("meter_desc"),
+        label.alias("interval_label"),
+        interval_minutes(label).alias("interval_minutes"),
+        patch.alias("header_patch"),
+        ((F.size(names) > 0) | (F.size(r3s) > 0)).alias("has_meta"),
+        F.exists(cols, lambda c: F.coalesce(c["has_data"], F.lit(False))).alias("nonempty"),
+    )
+
+    vis = F.filter(F.col("_cols"), lambda c: c["r4"].isNotNull()
+                   | F.coalesce(c["has_data"], F.lit(False)))
+
+    def name0(c):
+        return (F.when((c["col_no"] == 0) & F.col("header_patch"), F.lit("Zeitbereich"))
+                .when(c["r4"].isNotNull(), strip(c["r4"]))
+                .otherwise(F.concat(F.lit("col_"), c["col_no"].cast("string"))))
+
+    g = g.withColumn("_vis", F.transform(vis, lambda c: F.struct(
+        c["col_no"].alias("col_no"), name0(c).alias("name0"),
+        F.coalesce(c["n_present"], F.lit(0)).alias("n_present"),
+        F.coalesce(c["n_numeric"], F.lit(0)).alias("n_numeric"),
+        F.coalesce(c["has_data"], F.lit(False)).alias("has_data"))))
+    # first occurrence keeps its name (array_position is 1-based)
+    first_pos = F.transform(F.col("_vis"), lambda c: c["name0"])
+    g = g.withColumn("columns", F.transform(F.col("_vis"), lambda c, i: F.struct(
+        c["col_no"].alias("col_no"),
+        F.when(F.array_position(first_pos, c["name0"]) == i + 1, c["name0"])
+         .otherwise(F.concat(c["name0"], F.lit("_"), c["col_no"].cast("string"))).alias("name"),
+        c["n_present"].alias("n_present"), c["n_numeric"].alias("n_numeric"),
+        _is_numeric(c["n_present"], c["n_numeric"]).alias("numeric"),
+        c["has_data"].alias("has_data"))))
+
+    cl = F.col("columns")
+    t = F.coalesce(_first(cl, lambda c: F.lower(strip(c["name"])) == TIME_HEADER),
+                   _first(cl, lambda c: _time_hint(c["name"])))
+    v = _first(cl, lambda c: F.lower(strip(c["name"])) == VALUE_HEADER)
+    return g.select(
+        *S, "sheet_name", "meter_name", "meter_desc", "interval_label", "interval_minutes",
+        "header_patch", "has_meta", "nonempty", "columns",
+        t["col_no"].alias("time_col"), t["name"].alias("time_name"),
+        v["col_no"].alias("value_col"), v["name"].alias("value_name"),
+        v["numeric"].alias("value_numeric"))
+
+
+# Views of the sheet table (the registered operator outputs) ---------------------
+def sheet_meta(cells: DataFrame | None = None, *, profile: DataFrame | None = None,
+               sheets: DataFrame | None = None) -> DataFrame:
+    """BR-1..4 per sheet; sheets without any row-2/3 text have no row."""
+    st = _sheets(cells, profile, sheets)
+    return st.where("has_meta").select(*S, "meter_name", "meter_desc", "interval_label",
+                                       "interval_minutes", "header_patch")
 
 
 def column_stats(cells: DataFrame | None = None, *, profile: DataFrame | None = None) -> DataFrame:
-    """Per (sheet, column) with data cells: present / numeric counts and the
-    80 % verdict."""
+    """BR-9/10 per (sheet, column) with data cells: present / numeric counts
+    and the 80 % verdict."""
     p = column_profile(cells) if profile is None else profile
     return (p.where(F.col("has_data"))
             .select(*S, "col_no", "sheet_name", "n_present", "n_numeric",
-                    _numeric(p).alias("numeric")))
+                    _is_numeric(F.col("n_present"), F.col("n_numeric")).alias("numeric")))
 
 
-def column_info(cells: DataFrame | None = None, meta: DataFrame | None = None, *,
-                profile: DataFrame | None = None) -> DataFrame:
-    """Header name and type of every column of every sheet.
+def column_info(cells: DataFrame | None = None, *, profile: DataFrame | None = None,
+                sheets: DataFrame | None = None) -> DataFrame:
+    """BR-4/5 per column with a header or data: name, counts, type."""
+    st = _sheets(cells, profile, sheets)
+    return (st.select(*S, "sheet_name", F.explode("columns").alias("c"))
+            .select(*S, F.col("c.col_no").alias("col_no"), "sheet_name",
+                    F.col("c.n_present").alias("n_present"),
+                    F.col("c.n_numeric").alias("n_numeric"),
+                    F.col("c.numeric").alias("numeric"),
+                    F.col("c.has_data").alias("has_data"),
+                    F.col("c.name").alias("name")))
 
-    Columns are those with a header cell or any data. Names: the row-4 cell
-    stripped; ``col_<j>`` when there is none; cell A4 becomes the time header
-    when the sheet's row 3 carries it (header patch). A repeated name keeps
-    its first column and becomes ``<name>_<j>`` after that.
-    """
-    p = column_profile(cells) if profile is None else profile
-    meta = sheet_meta(profile=p) if meta is None else meta
-    cols = (p.where(F.col("r4").isNotNull() | F.col("has_data"))
-            .join(meta.select(*S, "header_patch"), S, "left"))
-    patch = (F.col("col_no") == 0) & F.coalesce(F.col("header_patch"), F.lit(False))
-    name = (F.when(patch, F.lit("Zeitbereich"))
-             .when(F.col("r4").isNotNull(), strip(F.col("r4")))
-             .otherwise(F.concat(F.lit("col_"), F.col("col_no").cast("string"))))
-    cols = cols.select(
-        *S, "col_no", "sheet_name", name.alias("_name"), "n_present", "n_numeric",
-        F.coalesce(_numeric(cols), F.lit(False)).alias("numeric"),
-        F.coalesce(F.col("has_data"), F.lit(False)).alias("has_data"))
-    # bounded window: one partition per (sheet, header name), a few columns
-    w = Window.partitionBy(*S, "_name").orderBy("col_no")
-    first = F.row_number().over(w) == 1
-    return (cols.withColumn("name", F.when(first, F.col("_name")).otherwise(
-                F.concat(F.col("_name"), F.lit("_"), F.col("col_no").cast("string"))))
-            .drop("_name"))
-
-
-# SV-2, SV-3 ------------------------------------------------------------------
-def sheet_roles(info: DataFrame) -> DataFrame:
-    """Time and value column per sheet.
-
-    time: the column named ``Zeitbereich`` (trimmed, any case), else the first
-    column whose name contains zeit/time/date/timestamp; value: the column
-    named ``Wert``. NULL when absent.
-    """
-    lname = F.lower(strip(F.col("name")))
-    hint = None
-    for h in TIME_HEADER_HINTS:
-        c = lname.contains(h)
-        hint = c if hint is None else (hint | c)
-    agg = info.groupBy(*S).agg(
-        F.min(F.when(lname == TIME_HEADER, F.col("col_no"))).alias("_t_exact"),
-        F.min(F.when(hint, F.col("col_no"))).alias("_t_hint"),
-        F.min(F.when(lname == VALUE_HEADER, F.col("col_no"))).alias("value_col"),
-    )
-    roles = agg.select(*S, F.coalesce("_t_exact", "_t_hint").alias("time_col"), "value_col")
-    names = info.select(*S, "col_no", "name", "numeric")
-    t = names.select(*S, F.col("col_no").alias("time_col"), F.col("name").alias("time_name"))
-    v = names.select(*S, F.col("col_no").alias("value_col"), F.col("name").alias("value_name"),
-                     F.col("numeric").alias("value_numeric"))
-    return roles.join(t, [*S, "time_col"], "left").join(v, [*S, "value_col"], "left")
 
+def sheet_roles(sheets: DataFrame) -> DataFrame:
+    """SV-2/3: time and value column of every sheet (NULL when absent)."""
+    return sheets.select(*S, "value_col", "time_col", "time_name", "value_name",
+                         "value_numeric")
+
+
+def nonempty_sheets(sheets: DataFrame) -> DataFrame:
+    """BR-12: sheets with at least one data cell (empty sheets are skipped)."""
+    return sheets.where("nonempty").select(*S, "sheet_name")
 
-# BR-6 .. BR-8 ----------------------------------------------------------------
-def records(cells: DataFrame, info: DataFrame, roles: DataFrame, *,
-            decimal_comma: bool = False) -> DataFrame:
-    """One row per (sheet, data row): ``cells`` map (header -> cleaned text),
-    the time text/kind and the typed value of the sheet's role columns.
-    Rows without any cell do not exist (blank rows are skipped, later rows
-    kept)."""
-    side = (info.select(*S, "col_no", "name", "numeric")
-            .join(roles.select(*S, "time_col", "value_col"), S, "left"))
-    d = data_cells(cells).join(side, [*S, "col_no"])
-    is_t = F.col("col_no") == F.col("time_col")
-    is_v = (F.col("col_no") == F.col("value_col")) & F.col("numeric")
-    return d.groupBy(*S, "row_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("cells"),
-        F.max(F.when(is_t, F.col("value"))).alias("timestamp_raw"),
-        F.max(F.when(is_t, F.col("kind"))).alias("timestamp_kind"),
-        F.max(F.when(is_v, to_number(F.col("value"), decimal_comma))).alias("value"),
-    )
+
+def _sheets(cells, profile, sheets) -> DataFrame:
+    if sheets is not None:
+        return sheets
+    return sheet_table(column_profile(cells) if profile is None else profile)
 
 
 # BR-13 .. BR-16 --------------------------------------------------------------
@@ -209,7 +229,7 @@ def sheet_ids(sheets: DataFrame) -> DataFrame:
         key.alias("sheet_key"), meter_id_of(hall, key).alias("meter_id"))
 
 
-# BR-11, BR-12 ----------------------------------------------------------------
+# BR-11 -----------------------------------------------------------------------
 def last_writer(sheets: DataFrame) -> DataFrame:
     """Per (hall_id, sheet_key) the non-empty sheet written last: greatest
     (src_file, sheet_idx). Input rows are non-empty sheets with ids."""
@@ -219,46 +239,80 @@ def last_writer(sheets: DataFrame) -> DataFrame:
                       F.col("_w.sheet_idx").alias("sheet_idx"))
 
 
-def nonempty_sheets(info: DataFrame) -> DataFrame:
-    """Sheets with at least one data cell (empty sheets are skipped)."""
-    return (info.where("has_data").groupBy(*S)
-            .agg(F.first("sheet_name", ignorenulls=True).alias("sheet_name")))
+def kept_sheets(sheets: DataFrame) -> DataFrame:
+    """Sheet-table rows of the surviving sheets, with ids and provenance
+    (meter name falls back to the sheet title, desc to '', interval to 15).
+
+    Same rule as ``last_writer``, written as one ``row_number`` window over
+    the (small) sheet table: no aggregate and no join back."""
+    key = safe_key(F.col("sheet_name"))
+    hall = hall_id_of(F.col("src_file"))
+    ids = sheets.where("nonempty").select(
+        "*", hall.alias("hall_id"), hall_label_of(hall).alias("hall_label"),
+        key.alias("sheet_key"), meter_id_of(hall, key).alias("meter_id"))
+    w = Window.partitionBy("hall_id", "sheet_key").orderBy(F.desc("src_file"), F.desc("sheet_idx"))
+    return (ids.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+            .withColumn("meter_name", F.coalesce(F.when(F.col("meter_name") != "",
+                                                        F.col("meter_name")),
+                                                 F.col("sheet_name")))
+            .withColumn("meter_desc", F.coalesce(F.col("meter_desc"), F.lit("")))
+            .withColumn("interval_minutes", F.coalesce(F.col("interval_minutes"),
+                                                       F.lit(DEFAULT_INTERVAL_MINUTES))))
+
+
+# BR-6 .. BR-8 ----------------------------------------------------------------
+def data_cells(cells: DataFrame) -> DataFrame:
+    """Cells below the header with missing tokens nulled (BR-6, BR-9)."""
+    return (cells.where(F.col("row_no") > HEADER_ROW)
+            .withColumn("value", missing_to_null(F.col("value"))))
+
+
+def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
+    """One row per (sheet, data row) of the kept sheets: ``cells`` map
+    (header -> cleaned text), the time text/kind and the typed value of the
+    sheet's role columns. Rows without any cell do not exist (blank rows are
+    skipped, later rows kept).
+
+    The per-column side table (kept sheets x columns) is joined to the data
+    cells before the shuffle; the planner broadcasts it when its measured
+    size allows and otherwise sort-merge-joins it (AQE splits a hot sheet).
+    """
+    side = (kept.select(*S, "time_col", "value_col", F.explode("columns").alias("c"))
+            .select(*S, F.col("c.col_no").alias("col_no"), F.col("c.name").alias("name"),
+                    (F.col("c.col_no") == F.col("time_col")).alias("_is_t"),
+                    ((F.col("c.col_no") == F.col("value_col")) & F.col("c.numeric"))
+                    .alias("_is_v")))
+    d = data_cells(cells).join(side, [*S, "col_no"])
+    is_t = F.coalesce(F.col("_is_t"), F.lit(False))
+    is_v = F.coalesce(F.col("_is_v"), F.lit(False))
+    return d.groupBy(*S, "row_no").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("cells"),
+        F.max(F.when(is_t, F.col("value"))).alias("timestamp_raw"),
+        F.max(F.when(is_t, F.col("kind"))).alias("timestamp_kind"),
+        F.max(F.when(is_v, to_number(F.col("value"), decimal_comma))).alias("value"),
+    )
 
 
 # Whole chain ------------------------------------------------------------------
 def cells_to_bronze(cells: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
-    """cells -> bronze rows of the surviving sheets (schema.BRONZE).
-
-    The cells are read twice: once for the column profile (all metadata),
-    once for the records."""
+    """cells -> bronze rows of the surviving sheets (schema.BRONZE)."""
     return bronze_from(cells, column_profile(cells), decimal_comma=decimal_comma)
 
 
 def bronze_from(cells: DataFrame, profile: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
-    """Bronze rows from the cells and their column profile. The pipeline
-    passes a written profile table, so every metadata step below reads that
-    small table and only ``records`` touches the cells."""
-    meta = sheet_meta(profile=profile)
-    info = column_info(meta=meta, profile=profile)
-    roles = sheet_roles(info)
-    recs = records(cells, info, roles, decimal_comma=decimal_comma)
-    sheets = sheet_ids(nonempty_sheets(info))
-    keep = last_writer(sheets).join(sheets, ["hall_id", "sheet_key", *S])
-    prov = keep.join(meta, S, "left").select(
-        *S, "hall_id", "sheet_key", "hall_label", "meter_id",
-        F.coalesce(F.when(F.col("meter_name") != "", F.col("meter_name")),
-                   F.col("sheet_name")).alias("meter_name"),
-        F.coalesce(F.col("meter_desc"), F.lit("")).alias("meter_desc"),
-        F.coalesce(F.col("interval_minutes"), F.lit(DEFAULT_INTERVAL_MINUTES))
-         .alias("interval_minutes"))
-    out = recs.join(prov, S)
-    return out.select(
+    """Bronze rows from the cells and their column profile (the pipeline
+    passes a written profile table)."""
+    kept = kept_sheets(sheet_table(profile))
+    recs = records(cells, kept, decimal_comma=decimal_comma)
+    prov = kept.select(*S, "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name",
+                       "meter_desc", "interval_minutes")
+    return recs.join(prov, S).select(
         "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name", "meter_desc",
         "interval_minutes", "src_file", "sheet_idx", "row_no", "timestamp_raw",
         "timestamp_kind", "value", "cells")
 
 
-def cells_text(cells_map: F.Column) -> F.Column:
+def cells_text(cells_map: Column) -> Column:
     """A record's cell map as ``name=text`` pairs sorted and joined by ``;``
     (a stable text form for comparing and printing; NULL text -> empty)."""
     pairs = F.transform(F.map_entries(cells_map),

@@ -167,39 +167,41 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     per event (row ``5 + event_id``: unique per sheet without a window).
     A second workbook ``Export_H1_zz.xlsx`` re-exports sheet ``Z 100 (m)`` of
     hall H1 with the view events of slot 0 and holds one empty sheet.
+
+    One scan of the events: each event names the sheets it lands on
+    (``targets``); header cells come from the distinct sheets (partial +
+    final aggregate, output bounded by files x sheets), data cells from the
+    events themselves.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type", "user_id")
     hall_no = F.create_map(*[x for k, v in F3_HALL_NO.items() for x in (F.lit(k), F.lit(v))])
     slot = (F.col("user_id") % 8).cast("int")
     src = F.concat(F.lit("Export_H"), hall_no[F.col("event_type")].cast("string"),
                    F.lit("_"), F.col("event_type"), F.lit(".xlsx"))
-    base = ev.select("event_id", "ts", "value", src.alias("src_file"),
-                     slot.alias("sheet_idx"), slot.alias("layout"))
-    rewrite = (ev.where((F.col("event_type") == F3_REWRITE_FROM) & (slot == 0))
-               .select("event_id", "ts", "value", F.lit(F3_REWRITE_FILE).alias("src_file"),
-                       F.lit(0).alias("sheet_idx"), F.lit(0).alias("layout")))
-    data_src = base.unionByName(rewrite)
 
     def sheet_name(k):
         return F.concat(F.lit("Z "), (k + 100).cast("string"), F.lit(" (m)"))
 
-    # Header cells: one set per distinct sheet (partial + final aggregate,
-    # output bounded by files x sheets), plus the empty sheet.
-    sheets = data_src.select("src_file", "sheet_idx", "layout").distinct()
-    sheets = sheets.select("src_file", "sheet_idx", sheet_name(F.col("layout")).alias("sheet_name"),
-                           "layout")
-    # The re-export workbook's sheet 0 is one distinct row; its empty sheet
-    # sits next to it as sheet 1.
-    empty = (sheets.where((F.col("src_file") == F3_REWRITE_FILE) & (F.col("sheet_idx") == 0))
-             .select("src_file", F.lit(1).alias("sheet_idx"),
-                     F.lit(F3_EMPTY_SHEET).alias("sheet_name"), F.lit(0).alias("layout")))
-    head = (sheets.unionByName(empty)
+    def target(file, idx, layout, name, body):
+        return F.struct(file.alias("src_file"), idx.alias("sheet_idx"), layout.alias("layout"),
+                        name.alias("sheet_name"), F.lit(body).alias("body"))
+
+    main = target(src, slot, slot, sheet_name(slot), True)
+    again = target(F.lit(F3_REWRITE_FILE), F.lit(0), F.lit(0), sheet_name(F.lit(0)), True)
+    empty = target(F.lit(F3_REWRITE_FILE), F.lit(1), F.lit(0), F.lit(F3_EMPTY_SHEET), False)
+    rewrite = (F.col("event_type") == F3_REWRITE_FROM) & (slot == 0)
+    targets = F.when(rewrite, F.array(main, again, empty)).otherwise(F.array(main))
+    t = (ev.select("event_id", "ts", "value", F.explode(targets).alias("t"))
+         .select("event_id", "ts", "value", "t.*"))
+
+    head = (t.select("src_file", "sheet_idx", "sheet_name", "layout").distinct()
             .select("src_file", "sheet_idx", "sheet_name",
                     F.explode(_header_cells(F.col("layout"))).alias("c"))
             .where(F.col("c").isNotNull()))
-    body = data_src.select("src_file", "sheet_idx", sheet_name(F.col("layout")).alias("sheet_name"),
-                           F.explode(_data_cells(F.col("event_id"), F.col("ts"), F.col("value"),
-                                                 F.col("layout"))).alias("c"))
+    body = (t.where("body")
+            .select("src_file", "sheet_idx", "sheet_name",
+                    F.explode(_data_cells(F.col("event_id"), F.col("ts"), F.col("value"),
+                                          F.col("layout"))).alias("c")))
     out = head.unionByName(body)
     return out.select("src_file", "sheet_idx", "sheet_name",
                       F.col("c.row_no").alias("row_no"), F.col("c.col_no").alias("col_no"),

@@ -26,6 +26,7 @@ itself (no second pass over the data).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -94,6 +95,19 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
         *[f.name for f in SILVER.fields])
 
 
+def read_hall_folders(spark: SparkSession, path: str, schema=SILVER) -> DataFrame:
+    """Foreign layout ``<path>/<hall>/<file>.parquet`` (no ``key=value``
+    folders): the hall is the first folder under ``path`` and overrides any
+    ``hall_id`` column; columns absent from the files read as NULL and the
+    result has exactly ``schema``."""
+    from ..operators.silver import conform
+    base = path.rstrip("/").split("/")[-1]
+    df = (spark.read.schema(schema).option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", "*.parquet").parquet(path))
+    hall = F.regexp_extract(F.col("_metadata.file_path"), re.escape(base) + r"/([^/]+)/", 1)
+    return conform(df.withColumn("hall_id", hall), schema)
+
+
 # --------------------------------------------------------------------- gold
 def write_gold(gold: Gold, root: str) -> dict:
     m = {}
@@ -139,6 +153,6 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 
 __all__ = [
     "layer_path", "scratch_root", "write_bronze", "read_bronze", "write_silver",
-    "read_silver", "write_gold", "read_gold", "gold_views", "append_run_log",
+    "read_silver", "read_hall_folders", "write_gold", "read_gold", "gold_views", "append_run_log",
     "read_run_log", "layer_exists",
 ]

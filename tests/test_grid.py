@@ -87,8 +87,8 @@ def test_roles_and_records(spark):
 def test_time_column_hint(spark):
     g = {(4, 0): ("Nr", "s"), (4, 1): ("Datum/Zeit", "s"), (4, 2): ("Wert", "s"),
          (5, 0): ("1", "n"), (5, 1): ("01.01.2025 00:00", "s"), (5, 2): ("3", "n")}
-    info = G.column_info(cells(spark, sheet("f.xlsx", 0, "S", g)))
-    r = G.sheet_roles(info).collect()[0]
+    st = G.sheet_table(G.column_profile(cells(spark, sheet("f.xlsx", 0, "S", g))))
+    r = G.sheet_roles(st).collect()[0]
     assert (r.time_col, r.time_name, r.value_col) == (1, "Datum/Zeit", 2)
 
 

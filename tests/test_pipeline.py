@@ -109,3 +109,18 @@ def test_available_now_only_new_files(spark):
     a = sorted(lake.read_gold(spark, root).fact.collect())
     b = sorted(lake.read_gold(spark, batch_root).fact.collect())
     assert a == b and len(a) == 5
+
+
+def test_foreign_hall_folders(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base = tempfile.mkdtemp(prefix="ml-silver-")
+    for hall, n in (("H07", 2), ("007", 3)):
+        os.makedirs(os.path.join(base, "silver", hall))
+        t = pa.table({"hall_id": ["wrong"] * n, "meter_id": ["m"] * n,
+                      "timestamp": [T0 + dt.timedelta(minutes=15 * i) for i in range(n)],
+                      "value": [1.0] * n, "extra": ["x"] * n})
+        pq.write_table(t, os.path.join(base, "silver", hall, "data.parquet"))
+    df = lake.read_hall_folders(spark, os.path.join(base, "silver"))
+    got = sorted((r.hall_id, r.meter_name) for r in df.collect())
+    assert got == [("007", None)] * 3 + [("H07", None)] * 2   # hall from folder, kept as text
