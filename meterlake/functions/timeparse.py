@@ -18,19 +18,24 @@ ISO_RE = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})" + _TIME + r"\s*$"
 DAYFIRST_RE = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})" + _TIME + r"\s*$"
 
 
-def _grp(c: Column, pattern: str, i: int, typ: str = "int", default=None) -> Column:
-    g = F.regexp_extract(c, pattern, i)
-    v = F.when(g != "", g).try_cast(typ)
+def _num(parts: Column, i: int, typ: str = "int", default=None) -> Column:
+    v = F.get(parts, i).try_cast(typ)
     return v if default is None else F.coalesce(v, F.lit(default).cast(typ))
 
 
-def _build(c: Column, pattern: str, y: int, mo: int, d: int) -> Column:
+def _build(parts: Column, y: int, mo: int, d: int) -> Column:
+    # seconds = whole seconds + fraction (digit group 7, if any), microseconds kept
+    frac = F.concat(F.lit("0."), F.get(parts, 6)).try_cast("decimal(16,6)")
+    sec = _num(parts, 5, "decimal(16,6)", 0) + F.coalesce(frac, F.lit(0).cast("decimal(16,6)"))
     return F.try_make_timestamp_ntz(
-        _grp(c, pattern, y), _grp(c, pattern, mo), _grp(c, pattern, d),
-        _grp(c, pattern, 4, default=0), _grp(c, pattern, 5, default=0),
-        _grp(c, pattern, 6, "decimal(16,6)", default=0))
+        _num(parts, y), _num(parts, mo), _num(parts, d),
+        _num(parts, 3, default=0), _num(parts, 4, default=0), sec)
 
 
 def parse_reading_time(text: Column) -> Column:
-    return (F.when(text.rlike(ISO_RE), _build(text, ISO_RE, 1, 2, 3))
-             .when(text.rlike(DAYFIRST_RE), _build(text, DAYFIRST_RE, 3, 2, 1)))
+    """Two anchored pattern tests decide the layout; the digit groups come
+    from one ``regexp_extract_all`` pass, so a row costs at most three regex
+    evaluations (not one per date part)."""
+    parts = F.regexp_extract_all(text, F.lit(r"(\d+)"), 1)
+    return (F.when(text.rlike(ISO_RE), _build(parts, 0, 1, 2))
+             .when(text.rlike(DAYFIRST_RE), _build(parts, 2, 1, 0)))

@@ -46,24 +46,30 @@ def column_profile(cells: DataFrame) -> DataFrame:
     per (sheet, column) the text of rows 2 and 3 (non-blank text cells only),
     the row-4 header cell, and the 80 %-rule counts over the data cells.
 
-    A column holds at most one cell per row, so ``max`` of a filtered value
-    is that cell. The aggregate runs partial-then-final: a column of a huge
-    sheet shrinks to one row per task before the shuffle.
+    A column holds at most one cell per row, so the filtered list of a
+    header row has at most one element. The texts are gathered with
+    ``collect_list`` rather than ``max``: a string ``max`` cannot use a hash
+    aggregate and would sort every cell; with ``collect_list`` the whole
+    aggregate is hash based (partial per task, then final), so a column of a
+    huge sheet shrinks to one row per task before the shuffle. The sheet
+    title is constant per sheet and rides along as a grouping key.
     """
     v = F.col("value")
     row = F.col("row_no")
     text = (F.col("kind") == "s") & (strip(v) != "")
     data = row > HEADER_ROW
     dv = F.when(data, missing_to_null(v))
-    return cells.groupBy(*S, "col_no").agg(
-        F.max("sheet_name").alias("sheet_name"),
-        F.max(F.when((row == NAME_ROW) & text, v)).alias("r2"),
-        F.max(F.when((row == LABEL_ROW) & text, v)).alias("r3"),
-        F.max(F.when(row == HEADER_ROW, v)).alias("r4"),
+    agg = cells.groupBy(*S, "sheet_name", "col_no").agg(
+        F.collect_list(F.when((row == NAME_ROW) & text, v)).alias("_r2"),
+        F.collect_list(F.when((row == LABEL_ROW) & text, v)).alias("_r3"),
+        F.collect_list(F.when(row == HEADER_ROW, v)).alias("_r4"),
         F.count(dv).alias("n_present"),
         F.count(F.when(is_number_text(dv), 1)).alias("n_numeric"),
         F.max(data).alias("has_data"),
     )
+    return agg.select(*S, "col_no", "sheet_name",
+                      F.get("_r2", 0).alias("r2"), F.get("_r3", 0).alias("r3"),
+                      F.get("_r4", 0).alias("r4"), "n_present", "n_numeric", "has_data")
 
 
 def _is_numeric(n_present: Column, n_numeric: Column) -> Column:

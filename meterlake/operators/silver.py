@@ -4,7 +4,7 @@
   (``functions.timeparse``): day-first for dotted/slashed dates, ISO for
   ``yyyy-MM-dd``; the wall clock is kept, stored as TIMESTAMP_NTZ;
 * rows without a valid time are dropped (the count is observable, see
-  ``lake.write_silver``);
+  ``pipeline.clean``);
 * values stay NULL when missing (``fill_missing`` replaces them on request);
   NaN never reaches silver, so ``value > 0`` drops exactly NULL, 0 and
   negatives downstream;
@@ -39,12 +39,22 @@ def conform(df: DataFrame, schema=SILVER) -> DataFrame:
     return df.select(cols)
 
 
+def drop_null(df: DataFrame, name: str) -> DataFrame:
+    """Rows where column ``name`` is NULL removed, computing ``name`` once.
+
+    Written as the explode of a zero-or-one element array. A plain
+    ``where(name IS NOT NULL)`` would be pushed below the projection that
+    defines ``name``, so the whole defining expression (here the time parse)
+    would run twice per row, and once without common-subexpression
+    elimination; measured about 3x slower on the silver step."""
+    return df.withColumn(name, F.explode(F.array_compact(F.array(F.col(name)))))
+
+
 def to_silver(bronze: DataFrame, *, fill_missing: float | None = None) -> DataFrame:
     """Bronze rows (schema.BRONZE) -> silver rows with a valid reading time."""
     value = no_nan(F.col("value"))
     if fill_missing is not None:
         value = F.coalesce(value, F.lit(float(fill_missing)))
-    out = (bronze.withColumn("timestamp", parse_reading_time(F.col("timestamp_raw")))
-           .where(F.col("timestamp").isNotNull())
-           .withColumn("value", value))
+    out = bronze.withColumn("timestamp", parse_reading_time(F.col("timestamp_raw")))
+    out = drop_null(out, "timestamp").withColumn("value", value)
     return conform(out)
