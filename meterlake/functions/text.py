@@ -27,15 +27,22 @@ def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(*MISSING_TOKENS), c)
 
 
-def is_number_text(c: Column) -> Column:
-    return c.rlike(NUMBER_RE)
+def number_text(c: Column, decimal_comma: bool = False) -> Column:
+    """The text as it is tested and cast: with ``decimal_comma`` a plain
+    ``1,5`` becomes ``1.5`` (thousands separators are never accepted)."""
+    if decimal_comma:
+        return F.when(c.rlike(r"^\s*[+-]?\d+,\d+\s*$"), F.regexp_replace(c, ",", ".")).otherwise(c)
+    return c
+
+
+def is_number_text(c: Column, decimal_comma: bool = False) -> Column:
+    return number_text(c, decimal_comma).rlike(NUMBER_RE)
 
 
 def to_number(c: Column, decimal_comma: bool = False) -> Column:
     """Number text -> DOUBLE, anything else -> NULL (never NaN)."""
-    if decimal_comma:
-        c = F.when(c.rlike(r"^\s*[+-]?\d+,\d+\s*$"), F.regexp_replace(c, ",", ".")).otherwise(c)
-    return F.when(is_number_text(c), F.trim(c).try_cast("double"))
+    t = number_text(c, decimal_comma)
+    return F.when(t.rlike(NUMBER_RE), F.trim(t).try_cast("double"))
 
 
 def safe_key(c: Column) -> Column:

@@ -41,7 +41,7 @@ S = ["src_file", "sheet_idx"]
 
 
 # One pass over the cells ------------------------------------------------------
-def column_profile(cells: DataFrame) -> DataFrame:
+def column_profile(cells: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
     """Everything the metadata steps need, in ONE aggregate over the cells:
     per (sheet, column) the text of rows 2 and 3 (non-blank text cells only),
     the row-4 header cell, and the 80 %-rule counts over the data cells.
@@ -64,7 +64,7 @@ def column_profile(cells: DataFrame) -> DataFrame:
         F.collect_list(F.when((row == LABEL_ROW) & text, v)).alias("_r3"),
         F.collect_list(F.when(row == HEADER_ROW, v)).alias("_r4"),
         F.count(dv).alias("n_present"),
-        F.count(F.when(is_number_text(dv), 1)).alias("n_numeric"),
+        F.count(F.when(is_number_text(dv, decimal_comma), 1)).alias("n_numeric"),
         F.max(data).alias("has_data"),
     )
     return agg.select(*S, "col_no", "sheet_name",
@@ -302,12 +302,14 @@ def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False) -
 # Whole chain ------------------------------------------------------------------
 def cells_to_bronze(cells: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
     """cells -> bronze rows of the surviving sheets (schema.BRONZE)."""
-    return bronze_from(cells, column_profile(cells), decimal_comma=decimal_comma)
+    return bronze_from(cells, column_profile(cells, decimal_comma=decimal_comma),
+                       decimal_comma=decimal_comma)
 
 
 def bronze_from(cells: DataFrame, profile: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
     """Bronze rows from the cells and their column profile (the pipeline
-    passes a written profile table)."""
+    passes a written profile table; build it with the same
+    ``decimal_comma``)."""
     kept = kept_sheets(sheet_table(profile))
     recs = records(cells, kept, decimal_comma=decimal_comma)
     prov = kept.select(*S, "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name",

@@ -36,7 +36,8 @@ def ingest(cells: DataFrame, root: str, *, decimal_comma: bool = False) -> dict:
     spark = cells.sparkSession
     m = stage_cells(cells, root)
     staged = spark.read.schema(CELLS).parquet(lake.layer_path(root, "cells"))
-    m.update(lake._write(column_profile(staged), lake.layer_path(root, "columns"), [], "columns"))
+    m.update(lake._write(column_profile(staged, decimal_comma=decimal_comma),
+                         lake.layer_path(root, "columns"), [], "columns"))
     profile = spark.read.parquet(lake.layer_path(root, "columns"))
     m.update(lake.write_bronze(bronze_from(staged, profile, decimal_comma=decimal_comma), root))
     return m
@@ -79,8 +80,8 @@ def run(spark: SparkSession, cells: DataFrame, root: str, *, decimal_comma: bool
                 metrics.update(derive(spark, root))
     except Exception as e:
         if log:
-            lake.append_run_log(spark, root, "failed", failed_task=task, error=repr(e),
-                                metrics=metrics)
+            lake.append_run_log(spark, root, "failed", failed_task=task,
+                                error=f"{type(e).__name__}: {e}", metrics=metrics)
         raise
     if log:
         lake.append_run_log(spark, root, status, metrics=metrics)

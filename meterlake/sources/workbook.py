@@ -71,8 +71,17 @@ def _number_text(v: str) -> str:
 
 
 def _text_of(el) -> str:
-    """Concatenated ``<t>`` texts of a shared/inline string (rich runs too)."""
-    return "".join(t.text or "" for t in el.iter(_M + "t"))
+    """Text of a shared/inline string: its ``<t>``, or the ``<t>`` of each
+    rich-text run ``<r>``; phonetic runs (``<rPh>``) are not cell text."""
+    out = []
+    for child in el:
+        if child.tag == _M + "t":
+            out.append(child.text or "")
+        elif child.tag == _M + "r":
+            t = child.find(_M + "t")
+            if t is not None:
+                out.append(t.text or "")
+    return "".join(out)
 
 
 def _date_styles(z: zipfile.ZipFile) -> set[int]:

@@ -115,3 +115,23 @@ def test_last_writer_skips_empty_and_takes_greatest(spark):
             + sheet("H1_c.xlsx", 0, "M 1", empty))
     b = G.cells_to_bronze(cells(spark, rows)).collect()
     assert {r.src_file for r in b} == {"H1_b.xlsx"}
+
+
+def test_decimal_comma_option(spark):
+    g = {(4, 0): ("Zeitbereich", "s"), (4, 1): ("Wert", "s")}
+    for i, v in enumerate(["1,5", "2,25", "3", "1.234,5"]):
+        g[(5 + i, 0)] = ("01.01.2025 00:00", "s")
+        g[(5 + i, 1)] = (v, "s")
+    c = cells(spark, sheet("f.xlsx", 0, "S", g))
+    # default: a comma is not a decimal point -> 1 of 4 numeric -> column is text
+    assert [r.value for r in G.cells_to_bronze(c).orderBy("row_no").collect()] == [None] * 4
+    got = [r.value for r in G.cells_to_bronze(c, decimal_comma=True).orderBy("row_no").collect()]
+    assert got == [1.5, 2.25, 3.0, None]          # thousands separators never accepted
+
+
+def test_sheet_key_case_kept_meter_id_shared(spark):
+    data = {(4, 0): ("Zeitbereich", "s"), (4, 1): ("Wert", "s"),
+            (5, 0): ("01.01.2025 00:00", "s"), (5, 1): ("1", "n")}
+    rows = sheet("H1_x.xlsx", 0, "A", data) + sheet("H1_y.xlsx", 0, "a", data)
+    b = G.cells_to_bronze(cells(spark, rows)).collect()
+    assert sorted((r.sheet_key, r.meter_id) for r in b) == [("A", "h1_a"), ("a", "h1_a")]

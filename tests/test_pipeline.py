@@ -124,3 +124,46 @@ def test_foreign_hall_folders(spark):
     df = lake.read_hall_folders(spark, os.path.join(base, "silver"))
     got = sorted((r.hall_id, r.meter_name) for r in df.collect())
     assert got == [("007", None)] * 3 + [("H07", None)] * 2   # hall from folder, kept as text
+
+
+def test_rich_text_and_phonetic_runs():
+    import io
+    import zipfile
+    from meterlake.sources.workbook import workbook_cells
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    parts = {
+        "xl/workbook.xml": f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/'
+                           'officeDocument/2006/relationships"><sheets>'
+                           '<sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels":
+            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="rId1" Type="x" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/sharedStrings.xml": f'<sst {ns}><si><r><t>Wirk</t></r><r><t>leistung</t></r>'
+                                '<rPh><t>ignored</t></rPh></si></sst>',
+        "xl/worksheets/sheet1.xml": f'<worksheet {ns}><sheetData><row r="3">'
+                                    '<c r="B3" t="s"><v>0</v></c><c r="C3" t="b"><v>1</v></c>'
+                                    '<c r="D3"><f>1+1</f><v>2</v></c>'
+                                    '</row></sheetData></worksheet>',
+    }
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for k, v in parts.items():
+            z.writestr(k, v)
+    got = list(workbook_cells("w.xlsx", buf.getvalue()))
+    assert got == [("w.xlsx", 0, "S", 3, 1, "Wirkleistung", "s"),
+                   ("w.xlsx", 0, "S", 3, 2, "TRUE", "b"),
+                   ("w.xlsx", 0, "S", 3, 3, "2", "n")]          # cached formula value
+
+
+def test_failed_run_is_logged(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from meterlake.schema import CELLS
+    root = lake.scratch_root(spark)
+    bad = (spark.createDataFrame([("f.xlsx", 0, "S", 5, 0, "x", "s")], CELLS)
+           .withColumn("value", F.raise_error(F.lit("broken workbook"))))
+    with pytest.raises(Exception):
+        P.run(spark, bad, root)
+    log = lake.read_run_log(spark, root).collect()
+    assert [(r.status, r.failed_task) for r in log] == [("failed", "ingest")]
+    assert "broken workbook" in log[0].error
