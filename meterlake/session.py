@@ -30,6 +30,27 @@ DEFAULT_CONF = {
 }
 
 
+# Settings we recommend for a large cluster (the launcher applies them; the
+# library never builds a session there). Sizes are per task, so they hold as
+# the data grows: AQE starts from many shuffle partitions and merges them to
+# about the advisory size; a partition over 5x the median and 512 MiB is split
+# (skew join, skewed rebalance before writes); file splits of 256 MiB keep
+# scan tasks large enough for the vectorised Parquet reader.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    # Arrow batches for the workbook decoder are set per job (few files per
+    # batch), see sources.workbook.few_files_per_batch.
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "meterlake", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

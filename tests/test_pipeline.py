@@ -167,3 +167,18 @@ def test_failed_run_is_logged(spark):
     log = lake.read_run_log(spark, root).collect()
     assert [(r.status, r.failed_task) for r in log] == [("failed", "ingest")]
     assert "broken workbook" in log[0].error
+
+
+def test_hall_filter_prunes_gold_partitions(spark):
+    from meterlake.plans import queries as Q
+    from meterlake.plans import sql as QS
+    root = lake.scratch_root(spark)
+    d = make_folder({"Export_H1.xlsx": [("A", _sheet("A", T0, 4))],
+                     "Export_H2.xlsx": [("B", _sheet("B", T0, 3))]})
+    P.run_folder(spark, d, root)
+    gold = lake.read_gold(spark, root)
+    for df in (Q.daily_totals(gold, "H2"), D.peak_drilldown(gold, "H2"),
+               QS.run(spark, gold, "daily_totals", hall="H2")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(hall_id" in plan and "= H2)" in plan
+    assert {r.hall_id for r in Q.daily_totals(gold, "H2").collect()} == {"H2"}
