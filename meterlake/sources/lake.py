@@ -147,6 +147,12 @@ def read_run_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(layer_path(root, "run_log"))
 
 
+def run_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The run log as rows: (run_at, status, metric, value)."""
+    log = read_run_log(spark, root)
+    return log.select("run_at", "status", F.explode("metrics").alias("metric", "value"))
+
+
 def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
     return _exists(spark, layer_path(root, *parts))
 
@@ -154,5 +160,5 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 __all__ = [
     "layer_path", "scratch_root", "write_bronze", "read_bronze", "write_silver",
     "read_silver", "read_hall_folders", "write_gold", "read_gold", "gold_views", "append_run_log",
-    "read_run_log", "layer_exists",
+    "read_run_log", "run_metrics", "layer_exists",
 ]
