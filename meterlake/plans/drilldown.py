@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import covering_days, in_range, next_day_start, day_start
 from ..operators.gold import Gold
-from .queries import DAY_, _fact, _with_names, peak_interval
+from .queries import _fact, _with_names, peak_interval, reading_day
 
 
 def winners(gold: Gold, hall=None, start=None, end=None, *,
@@ -34,7 +34,7 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
     top_meter_name, top_meter_total), one row per hall with data."""
     ts = F.col("timestamp")
     f = _fact(gold, hall).where(covering_days(ts, start, end))
-    agg = (f.groupBy("hall_id", DAY_().alias("day"), "meter_id")
+    agg = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
            .agg(F.sum(F.when(in_range(ts, start, end, end_inclusive_day), F.col("value")))
                 .alias("_range_s"),
                 F.sum("value").alias("_s")))

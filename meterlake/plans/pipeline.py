@@ -25,7 +25,7 @@ def stage_cells(cells: DataFrame, root: str) -> dict:
     """Write this run's cells to ``cells/`` (replaced each run). The grid
     steps read the cells several times; reading a written table keeps the
     decoder (or any upstream plan) to a single pass and ends the lineage."""
-    return lake._write(cells, lake.layer_path(root, "cells"), [], "cells")
+    return lake.write_table(cells, lake.layer_path(root, "cells"), [], "cells")
 
 
 def ingest(cells: DataFrame, root: str, *, decimal_comma: bool = False) -> dict:
@@ -36,7 +36,7 @@ def ingest(cells: DataFrame, root: str, *, decimal_comma: bool = False) -> dict:
     spark = cells.sparkSession
     m = stage_cells(cells, root)
     staged = spark.read.schema(CELLS).parquet(lake.layer_path(root, "cells"))
-    m.update(lake._write(column_profile(staged, decimal_comma=decimal_comma),
+    m.update(lake.write_table(column_profile(staged, decimal_comma=decimal_comma),
                          lake.layer_path(root, "columns"), [], "columns"))
     profile = spark.read.parquet(lake.layer_path(root, "columns"))
     m.update(lake.write_bronze(bronze_from(staged, profile, decimal_comma=decimal_comma), root))

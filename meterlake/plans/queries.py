@@ -25,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import (add_micros, covering_days, in_range, micros_between,
+from ..functions.timecols import (add_micros, in_range, micros_between,
                                   micros_since_epoch, on_day)
 from ..operators.gold import Gold
 from ..schema import DEFAULT_INTERVAL_MINUTES, DEFAULT_TOP_N
 
-def DAY_() -> Column:
+
+def reading_day() -> Column:
+    """Calendar day of the reading (NTZ: no zone conversion)."""
     return F.to_date("timestamp")
 
 
@@ -72,7 +74,7 @@ def daily_totals(gold: Gold, hall=None, start=None, end=None, *,
     """Total per (day, meter) in the range, named from the meter dim."""
     f = _fact(gold, hall, positive_only).where(
         in_range(F.col("timestamp"), start, end, end_inclusive_day))
-    sums = (f.groupBy("hall_id", DAY_().alias("day"), "meter_id")
+    sums = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
             .agg(F.sum("value").alias("_s")))
     out = _with_names(sums, gold.dim_meter if dim_meter is None else dim_meter,
                       ["hall_id", "day"], "daily_total")
@@ -83,7 +85,7 @@ def daily_totals(gold: Gold, hall=None, start=None, end=None, *,
 def day_totals(gold: Gold, hall=None, start=None, end=None, *,
                end_inclusive_day: bool = False) -> DataFrame:
     f = _fact(gold, hall).where(in_range(F.col("timestamp"), start, end, end_inclusive_day))
-    return f.groupBy("hall_id", DAY_().alias("day")).agg(F.sum("value").alias("daily_total"))
+    return f.groupBy("hall_id", reading_day().alias("day")).agg(F.sum("value").alias("daily_total"))
 
 
 def top_day(gold: Gold, hall=None, start=None, end=None, *,
@@ -107,7 +109,7 @@ def meter_breakdown(gold: Gold, hall=None, day=None, top_n: int = DEFAULT_TOP_N,
     f = _fact(gold, hall, positive_only)
     if day is not None:
         f = f.where(on_day(F.col("timestamp"), day))
-    sums = (f.groupBy("hall_id", DAY_().alias("day"), "meter_id")
+    sums = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
             .agg(F.sum("value").alias("_s")))
     t = _with_names(sums, gold.dim_meter if dim_meter is None else dim_meter,
                     ["hall_id", "day"], "total_consumption")
@@ -126,7 +128,7 @@ def meter_timeseries(gold: Gold, hall=None, meter_id=None, day=None, *,
     f = _fact(gold, hall, positive_only, meter_id)
     if day is not None:
         f = f.where(on_day(F.col("timestamp"), day))
-    return (f.select("hall_id", "meter_id", DAY_().alias("day"), "timestamp",
+    return (f.select("hall_id", "meter_id", reading_day().alias("day"), "timestamp",
                      F.col("value").alias("consumption"))
             .orderBy("hall_id", "meter_id", "timestamp"))
 
@@ -162,11 +164,7 @@ def peak_interval(series: DataFrame, keys=("hall_id", "meter_id", "day"),
     )
 
 
-def in_window(ts: Column, start: Column, end: Column) -> Column:
-    return (ts >= start) & (ts < end)
-
-
 __all__ = [
     "hall_list", "daily_totals", "day_totals", "top_day", "meter_breakdown",
-    "meter_timeseries", "peak_interval", "covering_days", "in_window",
+    "meter_timeseries", "peak_interval", "reading_day",
 ]

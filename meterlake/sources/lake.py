@@ -53,7 +53,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str], name: str,
+def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
            mode: str = "overwrite", extra: dict | None = None) -> dict:
     """Write with observed row count; returns ``{name_rows: n}``."""
     obs = Observation(name)
@@ -78,7 +78,7 @@ def write_bronze(bronze: DataFrame, root: str) -> dict:
     empty partition value would read back as NULL."""
     key = F.when(F.col("sheet_key") == "", F.lit("_")).otherwise(F.col("sheet_key"))
     df = bronze.withColumn("sheet_key", key)
-    return _write(df, layer_path(root, "bronze"), ["hall_id", "sheet_key"], "bronze")
+    return write_table(df, layer_path(root, "bronze"), ["hall_id", "sheet_key"], "bronze")
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -87,7 +87,7 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 # ------------------------------------------------------------------- silver
 def write_silver(silver: DataFrame, root: str) -> dict:
-    return _write(silver, layer_path(root, "silver"), ["hall_id"], "silver")
+    return write_table(silver, layer_path(root, "silver"), ["hall_id"], "silver")
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -111,9 +111,9 @@ def read_hall_folders(spark: SparkSession, path: str, schema=SILVER) -> DataFram
 # --------------------------------------------------------------------- gold
 def write_gold(gold: Gold, root: str) -> dict:
     m = {}
-    m.update(_write(gold.fact, layer_path(root, "gold", "fact_measurement"), ["hall_id"], "fact"))
-    m.update(_write(gold.dim_hall, layer_path(root, "gold", "dim_hall"), [], "dim_hall"))
-    m.update(_write(gold.dim_meter, layer_path(root, "gold", "dim_meter"), [], "dim_meter"))
+    m.update(write_table(gold.fact, layer_path(root, "gold", "fact_measurement"), ["hall_id"], "fact"))
+    m.update(write_table(gold.dim_hall, layer_path(root, "gold", "dim_hall"), [], "dim_hall"))
+    m.update(write_table(gold.dim_meter, layer_path(root, "gold", "dim_meter"), [], "dim_meter"))
     return m
 
 
@@ -158,7 +158,7 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 
 
 __all__ = [
-    "layer_path", "scratch_root", "write_bronze", "read_bronze", "write_silver",
+    "layer_path", "scratch_root", "write_table", "write_bronze", "read_bronze", "write_silver",
     "read_silver", "read_hall_folders", "write_gold", "read_gold", "gold_views", "append_run_log",
     "read_run_log", "run_metrics", "layer_exists",
 ]

@@ -258,11 +258,11 @@ def archive(files: DataFrame, root: str) -> dict:
     name, time, length and SHA-256 digest (replaces the hall's earlier copy
     of the same name set through dynamic overwrite)."""
     from ..functions.text import hall_id_of
-    from .lake import _write, layer_path
+    from .lake import layer_path, write_table
     df = files.select(
         hall_id_of(F.col("path")).alias("hall_id"),
         file_name(F.col("path")).alias("src_file"),
         "modificationTime", "length",
         F.sha2(F.col("content"), 256).alias("sha256"),
         "content")
-    return _write(df, layer_path(root, "files"), ["hall_id"], "files")
+    return write_table(df, layer_path(root, "files"), ["hall_id"], "files")
