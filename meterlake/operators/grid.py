@@ -288,7 +288,12 @@ def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False) -
                     (F.col("c.col_no") == F.col("time_col")).alias("_is_t"),
                     ((F.col("c.col_no") == F.col("value_col")) & F.col("c.numeric"))
                     .alias("_is_v")))
-    d = data_cells(cells).join(side, [*S, "col_no"])
+    # Shuffle by (sheet, row) *before* grouping: a row has only a few cells,
+    # so a map-side partial collect_list would not shrink anything and would
+    # run (sort-based, spilling) inside whatever task read the cells - all of
+    # them when the input is one unsplittable file. After this exchange the
+    # grouping needs no other one; a hot sheet spreads over its rows.
+    d = data_cells(cells).join(side, [*S, "col_no"]).repartition(*S, "row_no")
     is_t = F.coalesce(F.col("_is_t"), F.lit(False))
     is_v = F.coalesce(F.col("_is_v"), F.lit(False))
     return d.groupBy(*S, "row_no").agg(

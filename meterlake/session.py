@@ -20,10 +20,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Joins against dims/winner tables are planned as broadcast only when the
-    # measured size (file stats, or AQE runtime stats of the finished stage)
-    # is below this bound; otherwise they stay sort-merge joins.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only by MEASURED size: static planning never broadcasts (its
+    # size estimates can be far too small, e.g. after an explode), and AQE
+    # turns a sort-merge join into a broadcast join once the finished stage
+    # of one side is measured under 32 MiB. Above that the join stays
+    # sort-merge (with AQE skew splitting).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -56,6 +58,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # one JVM runs every task: give it room (only applies when this call
+        # starts the JVM)
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -20,19 +20,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """The events table, or ``copies`` shifted copies of it (scaling runs).
+
+    Copy ``c`` of an event gets id ``event_id * copies + c`` and its time
+    moved by ``30 * c`` days (the data spans 30 days), so copies land on new
+    days instead of piling onto the same meter-days. Built with a generator,
+    not a join; ``copies=1`` is the table itself."""
+    ev = table(spark, sf_dir, "events")
+    if copies <= 1:
+        return ev
+    c = F.explode(F.sequence(F.lit(0), F.lit(int(copies) - 1))).alias("_copy")
+    x = ev.select("*", c)
+    return x.select(
+        (F.col("event_id") * int(copies) + F.col("_copy")).alias("event_id"),
+        F.timestamp_add("DAY", F.col("_copy") * 30, F.col("ts")).alias("ts"),
+        *[n for n in ev.columns if n not in ("event_id", "ts")])
+
+
 def _slot(user_id) -> F.Column:
     return (user_id % 8)
 
 
 # --------------------------------------------------------------------- F1
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """Events as silver readings.
 
     meter_name is NULL for slot 7 (a meter the dim cannot name); every 20th
     event reads 0 and the next one is missing, so the positive-value filter
     has work to do.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir, copies)
     slot = _slot(F.col("user_id"))
     hall = F.upper("event_type")
     rid = F.col("event_id") % 20
@@ -50,8 +68,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def readings_gold(spark: SparkSession, sf_dir: str) -> Gold:
-    return build_gold(readings(spark, sf_dir))
+def readings_gold(spark: SparkSession, sf_dir: str, copies: int = 1) -> Gold:
+    return build_gold(readings(spark, sf_dir, copies))
 
 
 def fanout_dim(gold: Gold) -> DataFrame:
@@ -160,7 +178,7 @@ def _data_cells(event_id, ts, value, layout) -> F.Column:
     )
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cells(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """Events laid out as workbook cells (schema.CELLS), see FIXTURES.md F3.
 
     One workbook per event type, one sheet per ``user_id % 8``, one data row
@@ -173,7 +191,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     final aggregate, output bounded by files x sheets), data cells from the
     events themselves.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type", "user_id")
+    ev = events(spark, sf_dir, copies).select("event_id", "ts", "value", "event_type", "user_id")
     hall_no = F.create_map(*[x for k, v in F3_HALL_NO.items() for x in (F.lit(k), F.lit(v))])
     slot = (F.col("user_id") % 8).cast("int")
     src = F.concat(F.lit("Export_H"), hall_no[F.col("event_type")].cast("string"),
