@@ -31,7 +31,10 @@ def events(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     if copies <= 1:
         return ev
     c = F.explode(F.sequence(F.lit(0), F.lit(int(copies) - 1))).alias("_copy")
-    x = ev.select("*", c)
+    # the driver writes each table as one file (one scan task); spread the
+    # base rows first so the copies are generated by many tasks (this moves
+    # the small base table, not the multiplied rows)
+    x = ev.repartition(min(int(copies), 64)).select("*", c)
     return x.select(
         (F.col("event_id") * int(copies) + F.col("_copy")).alias("event_id"),
         F.timestamp_add("DAY", F.col("_copy") * 30, F.col("ts")).alias("ts"),

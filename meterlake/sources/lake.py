@@ -61,8 +61,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
     for k, c in (extra or {}).items():
         aggs.append(c.alias(k))
     out = df.observe(obs, *aggs)
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    # rebalance: AQE sizes the written files (splits a hot partition value,
+    # merges small ones); without partition columns it only evens file sizes
+    out = out.hint("rebalance", *partition_by)
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
