@@ -20,6 +20,8 @@ jobs={
 def tree(plan):
     out=[]
     for ln in plan.splitlines():
+        if "== Initial Plan ==" in ln:
+            break
         m=re.match(r'^([\s:+\-]*)(\*?\s*\(\d+\)\s*)?([A-Za-z][A-Za-z0-9]*)(.*)$', ln)
         if not m: continue
         prefix, _, node, rest = m.groups()
