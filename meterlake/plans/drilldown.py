@@ -8,13 +8,15 @@ at once:
    grain with two sums: inside the requested range (step 1) and the whole day
    (step 2 filters by the winning day, not by the range);
 2. the best day per hall and the best meter on that day come from
-   ``row_number`` windows over that aggregate (bounded: days x meters);
+   ``row_number`` windows over that aggregate (bounded: days per hall, then
+   meters of one day per hall);
 3. readings of each hall's winning (meter, day) are selected by a join of the
    fact with the one-row-per-hall winner table (sized by AQE at run time,
-   broadcast when small) and reduced to the peak interval.
+   broadcast when small) and reduced to the peak interval, carrying the
+   winner columns along.
 
-The aggregate feeds steps 1 and 2 through one reused exchange, so the fact is
-scanned twice in total: once for the aggregate and once, filtered, for step 3.
+The fact is scanned twice in total: once for the aggregate (which feeds the
+day and meter steps) and once, filtered, for step 3.
 """
 
 from __future__ import annotations
@@ -27,11 +29,20 @@ from ..operators.gold import Gold
 from .queries import _fact, _with_names, peak_interval, reading_day
 
 
+WIN_COLS = ["hall_id", "top_day", "top_day_total", "top_meter_id", "top_meter_name",
+            "top_meter_total"]
+
+
 def winners(gold: Gold, hall=None, start=None, end=None, *,
             end_inclusive_day: bool = False,
             dim_meter: DataFrame | None = None) -> DataFrame:
     """Steps 1 and 2: (hall_id, top_day, top_day_total, top_meter_id,
-    top_meter_name, top_meter_total), one row per hall with data."""
+    top_meter_name, top_meter_total), one row per hall with data.
+
+    The (hall, day, meter) aggregate is the only pass over the fact; the
+    day step reduces it to one row per hall, the meter step joins that row
+    back (one row per hall: broadcast once AQE has measured it) and carries
+    the day's columns, so the result needs no further join."""
     ts = F.col("timestamp")
     f = _fact(gold, hall).where(covering_days(ts, start, end))
     agg = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
@@ -43,41 +54,49 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
             .where(F.col("top_day_total").isNotNull()))
     w1 = Window.partitionBy("hall_id").orderBy(F.desc("top_day_total"), F.asc("day"))
     best_day = (days.withColumn("_rn", F.row_number().over(w1)).where("_rn = 1")
-                .select("hall_id", F.col("day").alias("top_day"), "top_day_total"))
+                .select(F.col("hall_id").alias("_bh"), F.col("day").alias("top_day"),
+                        "top_day_total"))
 
-    pick = best_day.select(F.col("hall_id").alias("_bh"), F.col("top_day").alias("_bd"))
-    on_best = (agg.join(pick, (F.col("hall_id") == F.col("_bh")) & (F.col("day") == F.col("_bd")))
-               .select("hall_id", "meter_id", "_s"))
+    on_best = (agg.join(best_day, (F.col("hall_id") == F.col("_bh"))
+                        & (F.col("day") == F.col("top_day")))
+               .select("hall_id", "top_day", "top_day_total", "meter_id", "_s"))
     named = _with_names(on_best, gold.dim_meter if dim_meter is None else dim_meter,
-                        ["hall_id"], "top_meter_total")
+                        ["hall_id", "top_day", "top_day_total"], "top_meter_total")
     w2 = Window.partitionBy("hall_id").orderBy(
         F.desc("top_meter_total"), F.asc("meter_id"), F.asc("meter_name"))
-    best_meter = (named.withColumn("_rn", F.row_number().over(w2)).where("_rn = 1")
-                  .select("hall_id", F.col("meter_id").alias("top_meter_id"),
-                          F.col("meter_name").alias("top_meter_name"), "top_meter_total"))
-    return best_day.join(best_meter, "hall_id")
+    return (named.withColumn("_rn", F.row_number().over(w2)).where("_rn = 1")
+            .select("hall_id", "top_day", "top_day_total",
+                    F.col("meter_id").alias("top_meter_id"),
+                    F.col("meter_name").alias("top_meter_name"), "top_meter_total"))
 
 
-def winner_series(gold: Gold, win: DataFrame) -> DataFrame:
-    """Positive readings of each hall's winning meter on its winning day."""
+def winner_series(gold: Gold, win: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Positive readings of each hall's winning meter on its winning day;
+    ``carry`` names winner columns to keep on every reading."""
     f = _fact(gold)
+    carry = [c for c in (carry or []) if c != "hall_id"]
     w = win.select(F.col("hall_id").alias("_h"), F.col("top_meter_id").alias("_m"),
-                   F.col("top_day").alias("_d"))
+                   F.col("top_day").alias("_d"), *carry)
     ts = F.col("timestamp")
     cond = ((F.col("hall_id") == F.col("_h")) & (F.col("meter_id") == F.col("_m"))
             & (ts >= day_start(F.col("_d"))) & (ts < next_day_start(F.col("_d"))))
     return f.join(w, cond).select(
-        "hall_id", "meter_id", "timestamp", F.col("value").alias("consumption"))
+        "hall_id", *carry, "meter_id", "timestamp", F.col("value").alias("consumption"))
 
 
 def peak_drilldown(gold: Gold, hall=None, start=None, end=None, *,
                    end_inclusive_day: bool = False,
                    dim_meter: DataFrame | None = None) -> DataFrame:
-    """All three answers per hall plus the peak interval of step 3."""
+    """All three answers per hall plus the peak interval of step 3.
+
+    The winner columns ride along the series into the peak computation
+    (they are constant per hall), so no join back is needed. Every winner
+    has at least one positive reading on its day (it was chosen from them),
+    so every hall with a winner has a peak row."""
     win = winners(gold, hall, start, end, end_inclusive_day=end_inclusive_day,
                   dim_meter=dim_meter)
-    peak = peak_interval(winner_series(gold, win).drop("meter_id"), keys=("hall_id",))
-    return win.join(peak, "hall_id", "left")
+    series = winner_series(gold, win, carry=WIN_COLS).drop("meter_id")
+    return peak_interval(series, keys=WIN_COLS)
 
 
 def peak_band(gold: Gold, drill: DataFrame) -> DataFrame:
