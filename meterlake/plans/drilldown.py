@@ -101,13 +101,12 @@ def peak_drilldown(gold: Gold, hall=None, start=None, end=None, *,
 
 def peak_band(gold: Gold, drill: DataFrame) -> DataFrame:
     """Series of each hall's winning meter with ``in_peak`` marking the
-    readings inside [peak_start, peak_end)."""
-    s = winner_series(gold, drill)
-    p = drill.select("hall_id", "peak_start", "peak_end")
-    return (s.join(p, "hall_id")
-            .withColumn("in_peak", (F.col("timestamp") >= F.col("peak_start"))
-                        & (F.col("timestamp") < F.col("peak_end")))
-            .drop("peak_start", "peak_end"))
+    readings inside [peak_start, peak_end) (the bounds ride along the join
+    that selects the series)."""
+    s = winner_series(gold, drill, carry=["peak_start", "peak_end"])
+    return (s.withColumn("in_peak", (F.col("timestamp") >= F.col("peak_start"))
+                         & (F.col("timestamp") < F.col("peak_end")))
+            .select("hall_id", "meter_id", "timestamp", "consumption", "in_peak"))
 
 
 def _two(c) -> F.Column:
