@@ -29,6 +29,26 @@ from ..operators.gold import Gold
 from .queries import _fact, _with_names, peak_interval, reading_day
 
 
+def per_hall_broadcast(df: DataFrame, halls: DataFrame, row_factor: int = 8) -> DataFrame:
+    """``df`` (at most one row per hall) marked for broadcast, behind a size check.
+
+    The check reads the size statistics of ``halls`` (the hall dimension: file
+    statistics when it is a stored table, an upper-bound estimate when it is
+    derived) and allows ``row_factor`` times that for ``df``'s wider rows; it
+    must stay under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Beyond
+    that ``df`` is returned unmarked and the join is left to AQE.
+
+    Without the mark the fact side of a join with a per-hall table is shuffled
+    whole: the per-hall table's static estimate derives from the fact, and AQE
+    only measures it after the fact's shuffle has already run."""
+    spark = df.sparkSession
+    limit = int(spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1") or -1)
+    if limit <= 0:
+        limit = 32 * 1024 * 1024
+    size = int(str(halls._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size * row_factor <= limit else df
+
+
 WIN_COLS = ["hall_id", "top_day", "top_day_total", "top_meter_id", "top_meter_name",
             "top_meter_total"]
 
@@ -57,6 +77,7 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
                 .select(F.col("hall_id").alias("_bh"), F.col("day").alias("top_day"),
                         "top_day_total"))
 
+    best_day = per_hall_broadcast(best_day, gold.dim_hall)
     on_best = (agg.join(best_day, (F.col("hall_id") == F.col("_bh"))
                         & (F.col("day") == F.col("top_day")))
                .select("hall_id", "top_day", "top_day_total", "meter_id", "_s"))
@@ -75,8 +96,9 @@ def winner_series(gold: Gold, win: DataFrame, carry: list[str] | None = None) ->
     ``carry`` names winner columns to keep on every reading."""
     f = _fact(gold)
     carry = [c for c in (carry or []) if c != "hall_id"]
-    w = win.select(F.col("hall_id").alias("_h"), F.col("top_meter_id").alias("_m"),
-                   F.col("top_day").alias("_d"), *carry)
+    w = per_hall_broadcast(
+        win.select(F.col("hall_id").alias("_h"), F.col("top_meter_id").alias("_m"),
+                   F.col("top_day").alias("_d"), *carry), gold.dim_hall)
     ts = F.col("timestamp")
     cond = ((F.col("hall_id") == F.col("_h")) & (F.col("meter_id") == F.col("_m"))
             & (ts >= day_start(F.col("_d"))) & (ts < next_day_start(F.col("_d"))))
