@@ -36,6 +36,7 @@ from ..functions.text import (hall_id_of, hall_label_of, is_number_text, meter_i
 from ..schema import (DEFAULT_INTERVAL_MINUTES, HEADER_ROW, INTERVAL_PATTERN,
                       LABEL_ROW, NAME_ROW, NUMERIC_SHARE, TIME_HEADER,
                       TIME_HEADER_HINTS, VALUE_HEADER)
+from .sizing import checked_broadcast
 
 S = ["src_file", "sheet_idx"]
 
@@ -273,15 +274,17 @@ def data_cells(cells: DataFrame) -> DataFrame:
             .withColumn("value", missing_to_null(F.col("value"))))
 
 
-def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
+def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False,
+            profile: DataFrame | None = None) -> DataFrame:
     """One row per (sheet, data row) of the kept sheets: ``cells`` map
     (header -> cleaned text), the time text/kind and the typed value of the
     sheet's role columns. Rows without any cell do not exist (blank rows are
     skipped, later rows kept).
 
     The per-column side table (kept sheets x columns) is joined to the data
-    cells before the shuffle; the planner broadcasts it when its measured
-    size allows and otherwise sort-merge-joins it (AQE splits a hot sheet).
+    cells before the shuffle; it is broadcast behind a size check against the
+    column profile (``profile``), otherwise AQE decides (sort-merge with skew
+    splitting of a hot sheet).
     """
     side = (kept.select(*S, "time_col", "value_col", F.explode("columns").alias("c"))
             .select(*S, F.col("c.col_no").alias("col_no"), F.col("c.name").alias("name"),
@@ -293,6 +296,10 @@ def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False) -
     # run (sort-based, spilling) inside whatever task read the cells - all of
     # them when the input is one unsplittable file. After this exchange the
     # grouping needs no other one; a hot sheet spreads over its rows.
+    if profile is not None:
+        # the side has at most one row per profile row: broadcast it behind
+        # that bound, so the cells are shuffled once (below), not twice
+        side = checked_broadcast(side, bound=profile, row_factor=2)
     d = data_cells(cells).join(side, [*S, "col_no"]).repartition(*S, "row_no")
     is_t = F.coalesce(F.col("_is_t"), F.lit(False))
     is_v = F.coalesce(F.col("_is_v"), F.lit(False))
@@ -316,7 +323,7 @@ def bronze_from(cells: DataFrame, profile: DataFrame, *, decimal_comma: bool = F
     passes a written profile table; build it with the same
     ``decimal_comma``)."""
     kept = kept_sheets(sheet_table(profile))
-    recs = records(cells, kept, decimal_comma=decimal_comma)
+    recs = records(cells, kept, decimal_comma=decimal_comma, profile=profile)
     prov = kept.select(*S, "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name",
                        "meter_desc", "interval_minutes")
     return recs.join(prov, S).select(

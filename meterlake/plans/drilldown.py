@@ -26,27 +26,17 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import covering_days, in_range, next_day_start, day_start
 from ..operators.gold import Gold
+from ..operators.sizing import checked_broadcast
 from .queries import _fact, _with_names, peak_interval, reading_day
 
 
-def per_hall_broadcast(df: DataFrame, halls: DataFrame, row_factor: int = 8) -> DataFrame:
-    """``df`` (at most one row per hall) marked for broadcast, behind a size check.
-
-    The check reads the size statistics of ``halls`` (the hall dimension: file
-    statistics when it is a stored table, an upper-bound estimate when it is
-    derived) and allows ``row_factor`` times that for ``df``'s wider rows; it
-    must stay under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Beyond
-    that ``df`` is returned unmarked and the join is left to AQE.
-
-    Without the mark the fact side of a join with a per-hall table is shuffled
-    whole: the per-hall table's static estimate derives from the fact, and AQE
-    only measures it after the fact's shuffle has already run."""
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1") or -1)
-    if limit <= 0:
-        limit = 32 * 1024 * 1024
-    size = int(str(halls._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size * row_factor <= limit else df
+def per_hall_broadcast(df: DataFrame, halls: DataFrame) -> DataFrame:
+    """``df`` has at most one row per hall: broadcast it when the hall
+    dimension's size (x 8 for the wider rows) is under the broadcast limit.
+    Without this the fact side of the series join would be shuffled whole:
+    the per-hall table's static estimate derives from the fact, and AQE
+    measures it only after the fact's shuffle has run."""
+    return checked_broadcast(df, bound=halls, row_factor=8)
 
 
 WIN_COLS = ["hall_id", "top_day", "top_day_total", "top_meter_id", "top_meter_name",

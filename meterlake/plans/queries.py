@@ -13,9 +13,8 @@ Scale notes
   exact, and the join then sees one row per meter-day instead of one per
   reading. Partial aggregation runs map-side, so a hall holding a third of
   the readings costs a third of the scan but not a third of the shuffle.
-* Dim joins are not hinted. The planner broadcasts a dim only when its
-  measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE
-  re-checks with runtime sizes) and otherwise keeps a sort-merge join.
+* The meter dim is broadcast behind a size check of its own statistics
+  (``operators.sizing``); beyond the limit the join is left to AQE.
 * Top-k per group uses ``row_number`` windows over aggregated rows, which
   Spark runs with a partial group limit before the shuffle.
 """
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.timecols import (add_micros, in_range, micros_between,
                                   micros_since_epoch, on_day)
 from ..operators.gold import Gold
+from ..operators.sizing import checked_broadcast
 from ..schema import DEFAULT_INTERVAL_MINUTES, DEFAULT_TOP_N
 
 
@@ -54,7 +54,7 @@ def _with_names(meter_sums: DataFrame, dim_meter: DataFrame, keys: list[str],
     """Left-join meter sums to the meter dim on meter_id only and regroup by
     the raw dim name (NULL is its own group); the output name falls back to
     the meter id."""
-    names = dim_meter.select("meter_id", F.col("meter_name").alias("_dim_name"))
+    names = checked_broadcast(dim_meter.select("meter_id", F.col("meter_name").alias("_dim_name")))
     j = meter_sums.join(names, "meter_id", "left")
     g = j.groupBy(*keys, "meter_id", "_dim_name").agg(F.sum("_s").alias(total))
     return g.select(*keys, "meter_id",
