@@ -57,3 +57,11 @@ def test_silver_parses_each_time_text_once(spark, q):
     assert any("regexp_extract_all" in ln for ln in p.splitlines()
                if ln.lstrip(" :+-").startswith("Project"))
     assert "Generate explode" in p
+
+
+def test_series_join_does_not_shuffle_the_fact(spark, q):
+    p = plan_of(q["peak_drilldown"](spark, SF))
+    # the per-hall winner table is broadcast (checked against dim_hall), so
+    # the series join runs inside the fact scan's stage
+    assert "BroadcastHashJoin" in p
+    assert "BroadcastExchange" in p
