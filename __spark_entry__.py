@@ -334,6 +334,9 @@ def _daily_sql(where: str = "f.value > 0", dim: str = "dim_meter") -> str:
 
 
 def _breakdown_sql(where: str = "f.value > 0", dim: str = "dim_meter", top_n: int = 5) -> str:
+    # Sums per meter first, then the name join: equal to summing after the
+    # join (SUM distributes over a duplicated dim row), but the duplicated
+    # rows get bit-identical totals, so their tie-break by name is stable.
     return f"""
   SELECT hall_id, day, meter_id, meter_name, ROUND(total_consumption, 2) AS total_consumption,
          rank, rank = 1 AS is_top
@@ -341,12 +344,13 @@ def _breakdown_sql(where: str = "f.value > 0", dim: str = "dim_meter", top_n: in
     SELECT *, ROW_NUMBER() OVER (PARTITION BY hall_id, day
                                  ORDER BY total_consumption DESC, meter_id, meter_name) AS rank
     FROM (
-      SELECT f.hall_id, CAST(f."timestamp" AS DATE) AS day, f.meter_id,
-             COALESCE(d.meter_name, f.meter_id) AS meter_name,
-             SUM(f.value) AS total_consumption
-      FROM fact f LEFT JOIN {dim} d ON f.meter_id = d.meter_id
-      WHERE {where}
-      GROUP BY f.hall_id, CAST(f."timestamp" AS DATE), f.meter_id, d.meter_name))
+      SELECT s.hall_id, s.day, s.meter_id, COALESCE(d.meter_name, s.meter_id) AS meter_name,
+             SUM(s.s) AS total_consumption
+      FROM (SELECT f.hall_id, CAST(f."timestamp" AS DATE) AS day, f.meter_id, SUM(f.value) AS s
+            FROM fact f WHERE {where}
+            GROUP BY f.hall_id, CAST(f."timestamp" AS DATE), f.meter_id) s
+      LEFT JOIN {dim} d ON s.meter_id = d.meter_id
+      GROUP BY s.hall_id, s.day, s.meter_id, d.meter_name))
   WHERE rank <= {int(top_n)}"""
 
 
