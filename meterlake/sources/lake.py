@@ -125,6 +125,18 @@ def read_gold(spark: SparkSession, root: str) -> Gold:
     return Gold(rd("fact_measurement", FACT), rd("dim_hall", DIM_HALL), rd("dim_meter", DIM_METER))
 
 
+def read_gold_files(spark: SparkSession, fact_path: str, dim_hall_path: str,
+                    dim_meter_path: str) -> Gold:
+    """Gold from three separate Parquet files or folders (any layout, e.g.
+    single exported files), with the gold schemas; dims ordered by hall."""
+    def rd(path, schema):
+        return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
+    return Gold(rd(fact_path, FACT),
+                rd(dim_hall_path, DIM_HALL).orderBy(F.asc_nulls_last("hall_id")),
+                rd(dim_meter_path, DIM_METER).orderBy(F.asc_nulls_last("hall_id"),
+                                                      F.asc_nulls_last("meter_id")))
+
+
 def gold_views(spark: SparkSession, gold: Gold, prefix: str = "") -> None:
     """Register the gold tables as temp views for SQL users."""
     gold.fact.createOrReplaceTempView(f"{prefix}fact_measurement")
@@ -160,6 +172,6 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 
 __all__ = [
     "layer_path", "scratch_root", "write_table", "write_bronze", "read_bronze", "write_silver",
-    "read_silver", "read_hall_folders", "write_gold", "read_gold", "gold_views", "append_run_log",
+    "read_silver", "read_hall_folders", "write_gold", "read_gold_files", "read_gold", "gold_views", "append_run_log",
     "read_run_log", "run_metrics", "layer_exists",
 ]

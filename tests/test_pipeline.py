@@ -182,3 +182,22 @@ def test_hall_filter_prunes_gold_partitions(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(hall_id" in plan and "= H2)" in plan
     assert {r.hall_id for r in Q.daily_totals(gold, "H2").collect()} == {"H2"}
+
+
+def test_gold_from_single_files(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base = tempfile.mkdtemp(prefix="ml-gold-")
+    pq.write_table(pa.table({"hall_id": ["H2", "H1"], "meter_id": ["b", "a"],
+                             "timestamp": [T0, T0], "value": [1.0, 2.0]}),
+                   os.path.join(base, "fact.parquet"))
+    pq.write_table(pa.table({"hall_id": ["H2", "H1"], "hall_label": ["Hall H2", "Hall H1"]}),
+                   os.path.join(base, "dim_hall.parquet"))
+    pq.write_table(pa.table({"hall_id": ["H2", "H1"], "meter_id": ["b", "a"],
+                             "meter_name": ["B", "A"]}),                   # no meter_desc
+                   os.path.join(base, "dim_meter.parquet"))
+    g = lake.read_gold_files(spark, *(os.path.join(base, f"{t}.parquet")
+                                      for t in ("fact", "dim_hall", "dim_meter")))
+    assert [r.hall_id for r in g.dim_hall.collect()] == ["H1", "H2"]
+    assert [(r.meter_id, r.meter_desc) for r in g.dim_meter.collect()] == [("a", None), ("b", None)]
+    assert {r.hall_id for r in D.peak_drilldown(g).collect()} == {"H1", "H2"}
