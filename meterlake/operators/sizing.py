@@ -5,9 +5,10 @@ too small, e.g. after an ``explode``), and AQE only measures a side after
 the other side's shuffle has already run. Where a join pairs a large input
 (the fact, the cells) with a table whose size is bounded by a stored table
 (a dimension, the column profile), ``checked_broadcast`` marks the small
-side for broadcast when that bound is under the broadcast limit, so the
-large side is never shuffled for the join; beyond the limit the join is
-left to AQE (sort-merge, measured conversion, skew splitting).
+side for broadcast when that stored table's file size is under the
+broadcast limit, so the large side is never shuffled for the join; beyond
+the limit, or when the bound is itself a derived plan, the join is left to
+AQE (sort-merge, measured conversion, skew splitting).
 """
 
 from __future__ import annotations
@@ -33,10 +34,32 @@ def broadcast_limit(df: DataFrame) -> int:
     return n if n > 0 else DEFAULT_LIMIT
 
 
+# Logical nodes of a plan that only reads stored files (names as Spark
+# prints them): its size statistics come from the files.
+_STORED_NODES = {"Relation", "LogicalRelation", "Project", "Filter", "SubqueryAlias", "Sort",
+                 "ResolvedHint"}
+
+
+def is_stored(df: DataFrame) -> bool:
+    """True when ``df`` is a stored table read with projections, filters and
+    sorts only (cheap to size: no derived plan is optimized)."""
+    def ok(p) -> bool:
+        if p.nodeName() not in _STORED_NODES:
+            return False
+        ch = p.children()
+        return all(ok(ch.apply(i)) for i in range(ch.size()))
+    return ok(df._jdf.queryExecution().analyzed())
+
+
 def checked_broadcast(df: DataFrame, bound: DataFrame | None = None,
                       row_factor: int = 1) -> DataFrame:
-    """``df`` marked for broadcast when ``row_factor`` x the size of ``bound``
-    (a table with at least as many rows as ``df``; ``df`` itself by default)
-    is under the broadcast limit; ``df`` unchanged otherwise."""
-    size = size_estimate(df if bound is None else bound) * max(1, int(row_factor))
+    """``df`` marked for broadcast when ``bound`` (a stored table with at
+    least as many rows as ``df``; ``df`` itself by default) is under the
+    broadcast limit after ``row_factor`` x its file size; ``df`` unchanged
+    otherwise, and always when ``bound`` is a derived plan (its size is not
+    known until AQE measures it)."""
+    b = df if bound is None else bound
+    if not is_stored(b):
+        return df
+    size = size_estimate(b) * max(1, int(row_factor))
     return F.broadcast(df) if size <= broadcast_limit(df) else df
