@@ -76,3 +76,28 @@ def test_series_join_does_not_shuffle_the_fact(spark):
     below = lines[i + 1:i + 6]
     assert any(ln.startswith("FileScan") for ln in below), below
     assert not any(ln.startswith("Exchange") for ln in below), below
+
+
+def test_checked_broadcast_decisions(spark):
+    import os
+    import tempfile
+    from pyspark.sql import functions as F
+    from meterlake.operators.sizing import checked_broadcast, is_stored
+    path = os.path.join(tempfile.mkdtemp(prefix="ml-size-"), "t")
+    spark.range(1000).withColumn("k", F.col("id") % 7).write.parquet(path)
+    stored = spark.read.parquet(path)
+    derived = stored.groupBy("k").count()
+    big = spark.range(10)
+
+    def broadcasts(df):
+        return "BroadcastExchange" in plan_of(big.join(df, big.id == df.k))
+
+    assert is_stored(stored) and not is_stored(derived)
+    assert broadcasts(checked_broadcast(derived, bound=stored))      # small stored bound
+    assert not broadcasts(checked_broadcast(derived))                # derived: left to AQE
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10")
+        assert not broadcasts(checked_broadcast(derived, bound=stored))  # over the limit
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
