@@ -13,6 +13,9 @@ class Gold:
     fact: DataFrame
     dim_hall: DataFrame
     dim_meter: DataFrame
+    # A stored table with at least one row per hall, used to size per-hall
+    # broadcasts when dim_hall is itself derived (None: use dim_hall).
+    hall_bound: DataFrame | None = None
 
 
 def fact_measurement(silver: DataFrame) -> DataFrame:

@@ -39,6 +39,10 @@ def per_hall_broadcast(df: DataFrame, halls: DataFrame) -> DataFrame:
     return checked_broadcast(df, bound=halls, row_factor=8)
 
 
+def _halls(gold: Gold) -> DataFrame:
+    return gold.dim_hall if gold.hall_bound is None else gold.hall_bound
+
+
 WIN_COLS = ["hall_id", "top_day", "top_day_total", "top_meter_id", "top_meter_name",
             "top_meter_total"]
 
@@ -67,7 +71,7 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
                 .select(F.col("hall_id").alias("_bh"), F.col("day").alias("top_day"),
                         "top_day_total"))
 
-    best_day = per_hall_broadcast(best_day, gold.dim_hall)
+    best_day = per_hall_broadcast(best_day, _halls(gold))
     on_best = (agg.join(best_day, (F.col("hall_id") == F.col("_bh"))
                         & (F.col("day") == F.col("top_day")))
                .select("hall_id", "top_day", "top_day_total", "meter_id", "_s"))
@@ -88,7 +92,7 @@ def winner_series(gold: Gold, win: DataFrame, carry: list[str] | None = None) ->
     carry = [c for c in (carry or []) if c != "hall_id"]
     w = per_hall_broadcast(
         win.select(F.col("hall_id").alias("_h"), F.col("top_meter_id").alias("_m"),
-                   F.col("top_day").alias("_d"), *carry), gold.dim_hall)
+                   F.col("top_day").alias("_d"), *carry), _halls(gold))
     ts = F.col("timestamp")
     cond = ((F.col("hall_id") == F.col("_h")) & (F.col("meter_id") == F.col("_m"))
             & (ts >= day_start(F.col("_d"))) & (ts < next_day_start(F.col("_d"))))

@@ -114,7 +114,11 @@ def readings_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings_large_gold(spark: SparkSession, sf_dir: str) -> Gold:
-    return build_gold(readings_large(spark, sf_dir))
+    """Halls are regions: the stored region table (fixed size) bounds every
+    per-hall table of the drill-down."""
+    g = build_gold(readings_large(spark, sf_dir))
+    return Gold(g.fact, g.dim_hall, g.dim_meter,
+                hall_bound=table(spark, sf_dir, "region").select("r_name"))
 
 
 # --------------------------------------------------------------------- F3
