@@ -130,3 +130,23 @@ def test_invariants_on_fixture(spark):
     m1 = (Q.daily_totals(g).where("meter_id = 'click_m1'")
           .agg(F.sum("daily_total")).collect()[0][0])
     assert round(a - s2, 6) == round(m1, 6)
+
+
+def test_sql_texts_match_dataframe_queries(spark):
+    from meterlake.plans import sql as QS
+    g = gold(spark, ROWS)
+
+    def rows(df, cols):
+        return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+    a = QS.run(spark, g, "daily_totals", hall="H1", start="2025-07-10", end="2025-07-11")
+    b = Q.daily_totals(g, "H1", "2025-07-10", "2025-07-11")
+    cols = ["hall_id", "day", "meter_id", "meter_name", "daily_total"]
+    assert rows(a, cols) == rows(b, cols)
+    a = QS.run(spark, g, "machine_breakdown", hall="H1", day="2025-07-10", top_n=1)
+    assert rows(a, ["meter_id", "total_consumption"]) == [("m1", 13.0)]
+    a = QS.run(spark, g, "machine_timeseries", hall="H1", meter_id="m2", day="2025-07-10")
+    assert rows(a, ["timestamp", "consumption"]) == [(T("2025-07-10 00:00"), 3.0)]
+    assert [r.hall_id for r in QS.run(spark, g, "halls").collect()] == ["H1"]
+    t = QS.run(spark, g, "top_day", hall="H1").collect()[0]
+    assert (t.day, t.daily_total) == (dt.date(2025, 7, 10), 16.0)
