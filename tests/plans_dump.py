@@ -1,4 +1,14 @@
-import sys, re; import os; sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+"""Print the final adaptive plans of the main jobs (source of PLANS.md).
+
+Run: python tests/plans_dump.py > plans.md
+"""
+
+import os
+import re
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from meterlake.session import build_session
 from meterlake.sources import fixtures as FX, lake
 from meterlake.plans import pipeline as P, drilldown as D, queries as Q, sql as QS
