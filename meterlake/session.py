@@ -73,11 +73,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it. Only when it is
-    unset (local tests) a fresh local folder is created and registered.
+    Uses ``spark.checkpoint.dir``. Where it is unset, a local session (tests)
+    gets a fresh folder; on a cluster a machine-local folder would differ from
+    node to node, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
