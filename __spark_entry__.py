@@ -75,8 +75,8 @@ def q_daily_totals(spark, d):
 
 def q_daily_totals_range_edge(spark, d):
     g = _f1(spark, d)
-    a = Q.daily_totals(g, None, *EDGE_RANGE).withColumn("end_mode", F.lit("between"))
-    b = (Q.daily_totals(g, None, *EDGE_RANGE, end_inclusive_day=True)
+    a = Q.daily_totals(g, None, *EDGE_RANGE, ordered=False).withColumn("end_mode", F.lit("between"))
+    b = (Q.daily_totals(g, None, *EDGE_RANGE, end_inclusive_day=True, ordered=False)
          .withColumn("end_mode", F.lit("whole_day")))
     return _r2(a.unionByName(b))
 
@@ -102,7 +102,7 @@ def q_meter_timeseries(spark, d):
 
 
 def q_peak_interval(spark, d):
-    return _r2(Q.peak_interval(Q.meter_timeseries(_f1(spark, d))))
+    return _r2(Q.peak_interval(Q.meter_timeseries(_f1(spark, d), ordered=False)))
 
 
 def q_peak_drilldown(spark, d):
@@ -118,17 +118,17 @@ def q_peak_drilldown_large(spark, d):
 
 
 def q_top_n_other(spark, d):
-    return _r2(R.top_n_other(Q.daily_totals(_f1(spark, d))))
+    return _r2(R.top_n_other(Q.daily_totals(_f1(spark, d), ordered=False)))
 
 
 def q_daily_pivot(spark, d):
-    daily = Q.daily_totals(_f1(spark, d))
+    daily = Q.daily_totals(_f1(spark, d), ordered=False)
     return _r2(R.daily_pivot(daily, F1_HALLS, column="hall_id", index=("day",)))
 
 
 def q_daily_peak(spark, d):
     g = _f1(spark, d)
-    return _r2(R.daily_peak(Q.daily_totals(g), Q.top_day(g)))
+    return _r2(R.daily_peak(Q.daily_totals(g, ordered=False), Q.top_day(g)))
 
 
 def q_peak_band(spark, d):
@@ -243,6 +243,34 @@ def q_sql_machine_breakdown(spark, d):
     return _r2(QS.run(spark, _f1(spark, d), "machine_breakdown", top_n=5))
 
 
+# The parameterised forms that the dashboard calls.
+ONE_HALL, ONE_METER, ONE_DAY = "CLICK", "click_m1", "2024-01-10"
+
+
+def q_daily_totals_hall(spark, d):
+    return _r2(Q.daily_totals(_f1(spark, d), ONE_HALL, *EDGE_RANGE))
+
+
+def q_meter_breakdown_day(spark, d):
+    return _r2(Q.meter_breakdown(_f1(spark, d), ONE_HALL, ONE_DAY, top_n=3).drop("is_top", "rank"))
+
+
+def q_meter_timeseries_one(spark, d):
+    return _r2(Q.meter_timeseries(_f1(spark, d), ONE_HALL, ONE_METER, ONE_DAY))
+
+
+def q_daily_totals_empty(spark, d):
+    return _r2(Q.daily_totals(_f1(spark, d), "NO SUCH HALL"))
+
+
+def q_sql_machine_timeseries(spark, d):
+    return _r2(QS.run(spark, _f1(spark, d), "machine_timeseries", hall=ONE_HALL, meter_id=ONE_METER, day=ONE_DAY))
+
+
+def q_fact_count(spark, d):
+    return G.row_count(_f1(spark, d).fact)
+
+
 def q_run_metrics(spark, d):
     """Row counts the pipeline observed at each stage, read from its run log."""
     root = L.scratch_root(spark, "lake")
@@ -270,6 +298,12 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_peak": q_daily_peak,
         "peak_band": q_peak_band,
         "kpi_strings": q_kpi_strings,
+        "daily_totals_hall": q_daily_totals_hall,
+        "meter_breakdown_day": q_meter_breakdown_day,
+        "meter_timeseries_one": q_meter_timeseries_one,
+        "daily_totals_empty": q_daily_totals_empty,
+        "sql_machine_timeseries": q_sql_machine_timeseries,
+        "fact_count": q_fact_count,
         "fact_measurement": q_fact_measurement,
         "dim_hall": q_dim_hall,
         "dim_meter": q_dim_meter,
@@ -694,10 +728,10 @@ series AS (SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestam
          top_meter_name AS top_machine_text,
          COALESCE(strftime(peak_start, '%H:%M') || '-' || strftime(peak_end, '%H:%M'), '—')
            AS peak_interval_text,
-         format('{:,.1f}', ROUND(top_day_total, 2)) || ' kW total' AS peak_day_sub,
-         format('{:,.1f}', ROUND(top_meter_total, 2)) || ' kW' AS top_machine_sub,
+         format('{:,.1f}', ROUND(top_day_total, 9)) || ' kW total' AS peak_day_sub,
+         format('{:,.1f}', ROUND(top_meter_total, 9)) || ' kW' AS top_machine_sub,
          CASE WHEN peak_value IS NOT NULL AND peak_value <> 0
-              THEN format('{:,.2f}', ROUND(peak_value, 2)) || ' kW' ELSE '' END AS peak_interval_sub
+              THEN format('{:,.2f}', ROUND(peak_value, 9)) || ' kW' ELSE '' END AS peak_interval_sub
   FROM drill""",
 
         "fact_measurement": f"""WITH {_F1}
@@ -715,6 +749,23 @@ series AS (SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestam
   SELECT src_file, sheet_idx, col_no, sheet_name, name, has_data FROM info""",
         "role_columns": f"WITH {_F3_GRID} SELECT * FROM roles",
         "ids": f"WITH {_F3_GRID} SELECT * FROM ids",
+        "daily_totals_hall": f"""WITH {_F1},
+  a AS ({_daily_sql(f"f.value > 0 AND f.hall_id = '{ONE_HALL}' AND f.timestamp BETWEEN TIMESTAMP '{edge_a}' AND TIMESTAMP '{edge_b}'")})
+  SELECT hall_id, day, meter_id, meter_name, ROUND(daily_total, 2) AS daily_total FROM a""",
+        "meter_breakdown_day": f"""WITH {_F1}
+  SELECT hall_id, day, meter_id, meter_name, total_consumption
+  FROM ({_breakdown_sql(f"f.value > 0 AND f.hall_id = '{ONE_HALL}' AND CAST(f.timestamp AS DATE) = DATE '{ONE_DAY}'", top_n=3)})""",
+        "meter_timeseries_one": f"""WITH {_F1}
+  SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestamp", ROUND(value, 2) AS consumption
+  FROM fact WHERE value > 0 AND hall_id = '{ONE_HALL}' AND meter_id = '{ONE_METER}'
+    AND CAST("timestamp" AS DATE) = DATE '{ONE_DAY}'""",
+        "daily_totals_empty": f"""WITH {_F1}, a AS ({_daily_sql("f.value > 0 AND f.hall_id = 'NO SUCH HALL'")})
+  SELECT hall_id, day, meter_id, meter_name, ROUND(daily_total, 2) AS daily_total FROM a""",
+        "sql_machine_timeseries": f"""WITH {_F1}
+  SELECT hall_id, meter_id, "timestamp", ROUND(value, 2) AS consumption
+  FROM fact WHERE value > 0 AND hall_id = '{ONE_HALL}' AND meter_id = '{ONE_METER}'
+    AND CAST("timestamp" AS DATE) = DATE '{ONE_DAY}'""",
+        "fact_count": f"WITH {_F1} SELECT count(*) AS n_rows FROM fact",
         "last_writer": f"WITH {_F3_GRID} SELECT * FROM lw",
         "grid_records": f"""WITH {_F3_GRID}
   SELECT hall_id, sheet_key, hall_label, meter_id, meter_name, meter_desc, interval_minutes,

@@ -154,12 +154,20 @@ def sheet_table(profile: DataFrame) -> DataFrame:
         F.coalesce(c["n_present"], F.lit(0)).alias("n_present"),
         F.coalesce(c["n_numeric"], F.lit(0)).alias("n_numeric"),
         F.coalesce(c["has_data"], F.lit(False)).alias("has_data"))))
-    # first occurrence keeps its name (array_position is 1-based)
+    # first occurrence keeps its name (array_position is 1-based); a later one
+    # gets its column number, and where another header already reads so, a
+    # tail that makes it longer than every header of the sheet
     first_pos = F.transform(F.col("_vis"), lambda c: c["name0"])
+    longest = F.array_max(F.transform(first_pos, lambda n: F.length(n)))
+
+    def own_name(c, i):
+        numbered = F.concat(c["name0"], F.lit("_"), c["col_no"].cast("string"))
+        return (F.when(F.array_position(first_pos, c["name0"]) == i + 1, c["name0"])
+                .when(~F.array_contains(first_pos, numbered), numbered)
+                .otherwise(F.concat(F.rpad(numbered, longest, "_"), F.lit("_"), c["col_no"].cast("string"))))
+
     g = g.withColumn("columns", F.transform(F.col("_vis"), lambda c, i: F.struct(
-        c["col_no"].alias("col_no"),
-        F.when(F.array_position(first_pos, c["name0"]) == i + 1, c["name0"])
-         .otherwise(F.concat(c["name0"], F.lit("_"), c["col_no"].cast("string"))).alias("name"),
+        c["col_no"].alias("col_no"), own_name(c, i).alias("name"),
         c["n_present"].alias("n_present"), c["n_numeric"].alias("n_numeric"),
         _is_numeric(c["n_present"], c["n_numeric"]).alias("numeric"),
         c["has_data"].alias("has_data"))))

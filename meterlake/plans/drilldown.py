@@ -145,10 +145,8 @@ def kpi_strings(drill: DataFrame) -> DataFrame:
     pv = F.col("peak_value")
 
     def num(c, digits):
-        # Totals are rounded to cents first: readings carry 2 decimals, and a
-        # raw float sum may sit just either side of a half-way point
-        # depending on summation order.
-        return F.format_number(F.round(F.col(c) if isinstance(c, str) else c, 2), digits)
+        # Only the noise of summation order is rounded off, never a decimal.
+        return F.format_number(F.round(F.col(c) if isinstance(c, str) else c, 9), digits)
 
     return drill.select(
         "hall_id",

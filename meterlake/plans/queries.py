@@ -70,15 +70,16 @@ def hall_list(gold: Gold) -> DataFrame:
 # QY-2 -----------------------------------------------------------------------
 def daily_totals(gold: Gold, hall=None, start=None, end=None, *,
                  positive_only: bool = True, end_inclusive_day: bool = False,
-                 dim_meter: DataFrame | None = None) -> DataFrame:
-    """Total per (day, meter) in the range, named from the meter dim."""
+                 dim_meter: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+    """Total per (day, meter) in the range, named from the meter dim. Pass
+    ``ordered=False`` where another step reads it (Spark keeps such a sort)."""
     f = _fact(gold, hall, positive_only).where(
         in_range(F.col("timestamp"), start, end, end_inclusive_day))
     sums = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
             .agg(F.sum("value").alias("_s")))
     out = _with_names(sums, gold.dim_meter if dim_meter is None else dim_meter,
                       ["hall_id", "day"], "daily_total")
-    return out.orderBy(F.asc_nulls_last("hall_id"), F.asc_nulls_last("day"), "meter_id")
+    return out.orderBy(F.asc_nulls_last("hall_id"), F.asc_nulls_last("day"), "meter_id") if ordered else out
 
 
 # QY-3 -----------------------------------------------------------------------
@@ -122,15 +123,15 @@ def meter_breakdown(gold: Gold, hall=None, day=None, top_n: int = DEFAULT_TOP_N,
 
 # QY-6 -----------------------------------------------------------------------
 def meter_timeseries(gold: Gold, hall=None, meter_id=None, day=None, *,
-                     positive_only: bool = True) -> DataFrame:
+                     positive_only: bool = True, ordered: bool = True) -> DataFrame:
     """Readings of a meter on a day in time order (every series when the
     parameters are None; then ordered by hall, meter, time)."""
     f = _fact(gold, hall, positive_only, meter_id)
     if day is not None:
         f = f.where(on_day(F.col("timestamp"), day))
-    return (f.select("hall_id", "meter_id", reading_day().alias("day"), "timestamp",
-                     F.col("value").alias("consumption"))
-            .orderBy("hall_id", "meter_id", "timestamp"))
+    out = f.select("hall_id", "meter_id", reading_day().alias("day"), "timestamp",
+                   F.col("value").alias("consumption"))
+    return out.orderBy("hall_id", "meter_id", "timestamp") if ordered else out
 
 
 # QY-7 -----------------------------------------------------------------------
@@ -141,25 +142,31 @@ def peak_interval(series: DataFrame, keys=("hall_id", "meter_id", "day"),
     step  = most frequent gap between successive readings (smallest on ties),
             ``default_minutes`` when a series has fewer than two readings;
     start = time of the first maximum in time order; end = start + step.
-    Input columns: ``keys``, ``timestamp``, ``consumption``. One window sort per
-    series (bounded: one meter-day of readings), no collect.
+    Input columns: ``keys``, ``timestamp``, ``consumption``. Readings are first
+    aggregated by time, so the window sees distinct times only, however often a
+    time repeats: ``n`` readings at one time are ``n - 1`` gaps of zero.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy("timestamp")
-    gaps = series.withColumn(
-        "_gap_us", micros_between(F.lag("timestamp").over(w), F.col("timestamp")))
-    agg = gaps.groupBy(*keys).agg(
-        F.mode("_gap_us", True).alias("_step_us"),
-        F.max_by(F.struct("timestamp", "consumption"),
-                 F.struct(F.col("consumption"),
-                          -micros_since_epoch(F.col("timestamp")))).alias("_peak"),
-    )
-    step = F.coalesce(F.col("_step_us"), F.lit(int(default_minutes) * 60_000_000))
+    times = series.groupBy(*keys, "timestamp").agg(
+        F.count("*").alias("_n"), F.max("consumption").alias("_v"))
+    before = F.lag("timestamp").over(Window.partitionBy(*keys).orderBy("timestamp"))
+    gap = micros_between(before, F.col("timestamp"))
+    one = F.struct(gap.alias("us"), F.when(gap.isNull(), 0).otherwise(1).cast("bigint").alias("n"))
+    zero = F.struct(F.lit(0).cast("bigint").alias("us"), (F.col("_n") - 1).alias("n"))
+    first_max = F.struct(F.col("_v").alias("value"), (-micros_since_epoch(F.col("timestamp"))).alias("early"),
+                         F.col("timestamp").alias("at"))
+    gaps = times.select(*keys, first_max.alias("_peak"), F.when(F.col("_n") > 1, F.array(one, zero)).otherwise(F.array(one)).alias("_g"))
+    gaps = gaps.select(*keys, "_peak", F.explode("_g").alias("_g"))
+    per_gap = gaps.groupBy(*keys, F.col("_g.us").alias("_us")).agg(F.sum("_g.n").alias("_n"), F.max("_peak").alias("_peak"))
+    agg = per_gap.groupBy(*keys).agg(
+        F.max(F.when(F.col("_us").isNotNull(), F.struct("_n", (-F.col("_us")).alias("neg")))).alias("_mode"),
+        F.max("_peak").alias("_peak"))
+    step = F.coalesce(-F.col("_mode.neg"), F.lit(int(default_minutes) * 60_000_000))
     return agg.select(
         *keys,
-        F.col("_peak.timestamp").alias("peak_start"),
-        add_micros(F.col("_peak.timestamp"), step).alias("peak_end"),
-        F.col("_peak.consumption").alias("peak_value"),
+        F.col("_peak.at").alias("peak_start"),
+        add_micros(F.col("_peak.at"), step).alias("peak_end"),
+        F.col("_peak.value").alias("peak_value"),
         F.floor(step / F.lit(1_000_000)).cast("bigint").alias("step_seconds"),
     )
 

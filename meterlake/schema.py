@@ -42,7 +42,6 @@ NUMERIC_SHARE = 0.8
 
 # Top-N meters shown for a day, and the default date range of the dashboard.
 DEFAULT_TOP_N = 5
-DEFAULT_RANGE = ("2025-01-01", "2025-12-31")
 
 # ---------------------------------------------------------------------------
 # Schemas

@@ -7,8 +7,7 @@ Layout under one root:
   partitions of earlier runs stay
 * ``silver/hall_id=<h>/``                fixed nine-column schema
 * ``gold/fact_measurement/hall_id=<h>/``, ``gold/dim_hall``, ``gold/dim_meter``
-  (the dims are replaced whole, the fact per hall)
-* ``files/hall_id=<h>/``                 archived workbooks (bytes + digest)
+* ``files/hall_id=<h>/file=<name>/``     archived workbooks (bytes + digest)
 * ``run_log/``                           one appended row per run
 
 Reads always pass an explicit schema: partition values are never type-inferred
@@ -54,8 +53,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
-           mode: str = "overwrite", extra: dict | None = None) -> dict:
-    """Write with observed row count; returns ``{name_rows: n}``."""
+           mode: str = "overwrite", extra: dict | None = None, whole: bool = False,
+           rebalance: bool = True) -> dict:
+    """Write with observed row count; returns ``{name_rows: n}``. ``whole``
+    replaces the table, also the partitions that no row goes to."""
     obs = Observation(name)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for k, c in (extra or {}).items():
@@ -63,8 +64,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
     out = df.observe(obs, *aggs)
     # rebalance: AQE sizes the written files (splits a hot partition value,
     # merges small ones); without partition columns it only evens file sizes
-    out = out.hint("rebalance", *partition_by)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    if rebalance:
+        out = out.hint("rebalance", *partition_by)
+    w = out.write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -88,7 +90,8 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 # ------------------------------------------------------------------- silver
 def write_silver(silver: DataFrame, root: str) -> dict:
-    return write_table(silver, layer_path(root, "silver"), ["hall_id"], "silver")
+    """Silver of all halls: a hall that has no rows left loses its old ones."""
+    return write_table(silver, layer_path(root, "silver"), ["hall_id"], "silver", whole=True)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -112,7 +115,8 @@ def read_hall_folders(spark: SparkSession, path: str, schema=SILVER) -> DataFram
 # --------------------------------------------------------------------- gold
 def write_gold(gold: Gold, root: str) -> dict:
     m = {}
-    m.update(write_table(gold.fact, layer_path(root, "gold", "fact_measurement"), ["hall_id"], "fact"))
+    m.update(write_table(gold.fact, layer_path(root, "gold", "fact_measurement"), ["hall_id"], "fact",
+                         whole=True))
     m.update(write_table(gold.dim_hall, layer_path(root, "gold", "dim_hall"), [], "dim_hall"))
     m.update(write_table(gold.dim_meter, layer_path(root, "gold", "dim_meter"), [], "dim_meter"))
     return m
@@ -127,30 +131,24 @@ def read_gold(spark: SparkSession, root: str) -> Gold:
 
 def read_gold_files(spark: SparkSession, fact_path: str, dim_hall_path: str,
                     dim_meter_path: str) -> Gold:
-    """Gold from three separate Parquet files or folders (any layout, e.g.
-    single exported files), with the gold schemas; dims ordered by hall."""
+    """Gold from three separate Parquet files or folders (any layout, nested
+    ones too, e.g. single exported files), with the gold schemas; dims ordered
+    by hall."""
     def rd(path, schema):
-        return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).select(*[f.name for f in schema.fields])
     return Gold(rd(fact_path, FACT),
                 rd(dim_hall_path, DIM_HALL).orderBy(F.asc_nulls_last("hall_id")),
                 rd(dim_meter_path, DIM_METER).orderBy(F.asc_nulls_last("hall_id"),
                                                       F.asc_nulls_last("meter_id")))
 
 
-def gold_views(spark: SparkSession, gold: Gold, prefix: str = "") -> None:
-    """Register the gold tables as temp views for SQL users."""
-    gold.fact.createOrReplaceTempView(f"{prefix}fact_measurement")
-    gold.dim_hall.createOrReplaceTempView(f"{prefix}dim_hall")
-    gold.dim_meter.createOrReplaceTempView(f"{prefix}dim_meter")
-
-
 # ------------------------------------------------------------------ run log
 def append_run_log(spark: SparkSession, root: str, status: str, *,
                    failed_task: str | None = None, error: str | None = None,
                    metrics: dict | None = None, run_at: _dt.datetime | None = None) -> None:
     """One row per run: time, status, failed task, error text, row metrics."""
-    run_at = run_at or _dt.datetime.now().replace(microsecond=0)
-    row = [(run_at, status, failed_task, (error or None) and str(error)[:2000],
+    run_at = run_at or _dt.datetime.now()
+    row = [(run_at, status, failed_task, str(error) if error else None,
             {k: int(v) for k, v in (metrics or {}).items()})]
     (spark.createDataFrame(row, RUN_LOG).coalesce(1)
      .write.mode("append").parquet(layer_path(root, "run_log")))
@@ -172,6 +170,6 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 
 __all__ = [
     "layer_path", "scratch_root", "write_table", "write_bronze", "read_bronze", "write_silver",
-    "read_silver", "read_hall_folders", "write_gold", "read_gold_files", "read_gold", "gold_views", "append_run_log",
+    "read_silver", "read_hall_folders", "write_gold", "read_gold_files", "read_gold", "append_run_log",
     "read_run_log", "run_metrics", "layer_exists",
 ]

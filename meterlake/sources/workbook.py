@@ -24,6 +24,7 @@ import re
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -111,8 +112,9 @@ def _serial_text(serial: float, epoch: _dt.datetime) -> str | None:
         t = epoch + _dt.timedelta(days=serial)
     except (OverflowError, ValueError):
         return None
-    t = t.replace(microsecond=0) + _dt.timedelta(seconds=round(t.microsecond / 1e6))
-    return t.strftime("%Y-%m-%d %H:%M:%S")
+    # a serial is exact to about a millisecond
+    t = t.replace(microsecond=0) + _dt.timedelta(milliseconds=round(t.microsecond / 1e3))
+    return t.isoformat(" ", "milliseconds" if t.microsecond else "seconds")
 
 
 def _sheets(z: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
@@ -150,13 +152,13 @@ def workbook_cells(name: str, content: bytes) -> Iterator[tuple]:
         sheets, date1904 = _sheets(z)
         epoch = EPOCH_1904 if date1904 else EPOCH_1900
         for idx, (sheet_name, part) in enumerate(sheets):
-            try:
-                data = z.open(part)
-            except KeyError:
-                continue
-            row_no = 0
-            # iterparse keeps memory bounded by one row, not the whole sheet
-            for ev, el in ET.iterparse(data, events=("end",)):
+            data = z.open(part)
+            row_no, parent = 0, None
+            # rows are dropped from their parent once read; the shared strings stay
+            for ev, el in ET.iterparse(data, events=("start", "end")):
+                if ev == "start":
+                    parent = el if el.tag == _M + "sheetData" else parent
+                    continue
                 if el.tag != _M + "row":
                     continue
                 r = el.get("r")
@@ -181,7 +183,7 @@ def workbook_cells(name: str, content: bytes) -> Iterator[tuple]:
                     elif t == "e":
                         value, kind = vt, "e"
                     elif t == "d":
-                        value, kind = (None if vt is None else vt.replace("T", " ")[:19]), "d"
+                        value, kind = (None if vt is None else vt.replace("T", " ")), "d"
                     else:
                         if vt is None:
                             continue
@@ -195,7 +197,12 @@ def workbook_cells(name: str, content: bytes) -> Iterator[tuple]:
                     if value is None or value == "":
                         continue
                     yield (name, idx, sheet_name, row_no, col, value, kind)
-                el.clear()
+                if parent is not None:
+                    parent.clear()
+
+
+# Cells that a task holds at most before it hands them on.
+CELLS_PER_BATCH = 200_000
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,22 +210,24 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for name, content in zip(pdf["src_file"], pdf["content"]):
-            try:
-                rows.extend(workbook_cells(name, bytes(content)))
-            except (zipfile.BadZipFile, ET.ParseError, KeyError):
-                # an unreadable workbook contributes no cells (it is still
-                # archived); the ingest metrics show the file without rows
-                continue
-            if len(rows) >= 200_000:  # bounded Arrow batches per task
+            cells = workbook_cells(name, bytes(content))
+            while True:
+                try:
+                    rows.extend(islice(cells, CELLS_PER_BATCH - len(rows)))
+                except (zipfile.BadZipFile, ET.ParseError, KeyError) as e:
+                    # never publish a workbook that was read in part
+                    raise ValueError(f"unreadable workbook {name}: {type(e).__name__}: {e}") from e
+                if len(rows) < CELLS_PER_BATCH:
+                    break
                 yield pd.DataFrame(rows, columns=cols)
                 rows = []
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
 
-def list_workbooks(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``binaryFile`` listing of the workbooks under ``path``: path,
-    modificationTime, length, content."""
+def list_workbooks(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """``binaryFile`` listing of the workbooks in ``path`` (one folder, where
+    names are unique): path, modificationTime, length, content."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", XLSX_GLOB)
             .option("recursiveFileLookup", str(recursive).lower()).load(path))
 
@@ -254,9 +263,9 @@ class few_files_per_batch:
 
 
 def archive(files: DataFrame, root: str) -> dict:
-    """Keep each original workbook under ``files/hall_id=<h>/`` with its
-    name, time, length and SHA-256 digest (replaces the hall's earlier copy
-    of the same name set through dynamic overwrite)."""
+    """Keep each original workbook under ``files/hall_id=<h>/file=<name>/`` with
+    its time, length and SHA-256 digest. A later file of the same hall and name
+    replaces it; all others stay."""
     from ..functions.text import hall_id_of
     from .lake import layer_path, write_table
     df = files.select(
@@ -265,4 +274,5 @@ def archive(files: DataFrame, root: str) -> dict:
         "modificationTime", "length",
         F.sha2(F.col("content"), 256).alias("sha256"),
         "content")
-    return write_table(df, layer_path(root, "files"), ["hall_id"], "files")
+    return write_table(df.withColumn("file", F.col("src_file")), layer_path(root, "files"), ["hall_id", "file"],
+                       "files", rebalance=False)

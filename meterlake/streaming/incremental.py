@@ -2,20 +2,24 @@
 
 A ``binaryFile`` file stream remembers in its checkpoint which files it has
 already seen; ``trigger(availableNow=True)`` takes everything new at start
-time (in bounded micro-batches) and ends the query. Each micro-batch runs the
-batch ingest on its files only (archive, cells, bronze with dynamic partition
-overwrite), so bronze partitions of earlier runs stay; silver and gold are
-then rebuilt from all of bronze, as in the batch run.
+time (in bounded micro-batches) and ends the query. A micro-batch archives its
+files and notes them in ``arrivals/``. After the stream, all arrivals that no
+finished call has taken are ingested together from the archive, silver and
+gold are rebuilt, and only then are they noted in ``taken/``.
 
-Order note: within one micro-batch the last writer of a (hall, sheet key) is
-the greatest file name, as in the batch run; across runs the later run wins.
+So the last writer of a (hall, sheet key) is the greatest file name of the
+call, however its files fell into micro-batches (across calls the later call
+wins), and a call that fails after the stream has committed is made good by
+the next one, which finds its arrivals still open.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import hall_id_of
 from ..plans import pipeline
 from ..sources import lake, workbook
 
@@ -26,42 +30,77 @@ BINARY_FILE = T.StructType([
     T.StructField("content", T.BinaryType(), True),
 ])
 
+ARRIVALS = T.StructType([T.StructField(n, T.StringType()) for n in ("hall_id", "file", "token")])
+
 
 def new_workbooks(spark: SparkSession, path: str, max_files_per_batch: int = 1000) -> DataFrame:
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE)
             .option("pathGlobFilter", workbook.XLSX_GLOB)
-            .option("recursiveFileLookup", "true")
+            .option("recursiveFileLookup", "false")
             .option("maxFilesPerTrigger", str(max_files_per_batch))
             .load(path))
 
 
+def _open_arrivals(spark: SparkSession, root: str) -> DataFrame | None:
+    """Arrivals that no finished call has taken (None: nothing ever arrived)."""
+    if not lake.layer_exists(spark, root, "arrivals"):
+        return None
+    came = spark.read.schema(ARRIVALS).parquet(lake.layer_path(root, "arrivals"))
+    if not lake.layer_exists(spark, root, "taken"):
+        return came
+    return came.join(spark.read.schema(ARRIVALS).parquet(lake.layer_path(root, "taken")), ["token"], "left_anti").select(
+        *ARRIVALS.fieldNames())
+
+
 def ingest_available(spark: SparkSession, path: str, root: str, *,
                      checkpoint: str | None = None, max_files_per_batch: int = 1000,
                      refresh_downstream: bool = True) -> dict:
-    """Ingest the workbooks that arrived since the last call; then rebuild
-    silver and gold when anything new came in. Returns summed metrics."""
+    """Ingest the workbooks that arrived since the last finished call; then
+    rebuild silver and gold when there were any. Returns summed metrics; a
+    failure is logged with its step and raised."""
     ckpt = checkpoint or lake.layer_path(root, "_stream_checkpoint")
     totals: dict = {"batches": 0}
 
     def batch(files: DataFrame, batch_id: int) -> None:
         if files.isEmpty():
             return
-        m = workbook.archive(files, root)
-        with workbook.few_files_per_batch(spark):
-            m.update(pipeline.ingest(workbook.cells_of(files), root))
-        totals["batches"] += 1
-        for k, v in m.items():
+        for k, v in workbook.archive(files, root).items():
             totals[k] = totals.get(k, 0) + int(v)
+        names = files.select(hall_id_of(F.col("path")).alias("hall_id"), workbook.file_name(F.col("path")).alias("file"))
+        names.withColumn("token", F.expr("uuid()")).select(*ARRIVALS.fieldNames()).write.mode("append").parquet(
+            lake.layer_path(root, "arrivals"))
+        totals["batches"] += 1
 
-    q = (new_workbooks(spark, path, max_files_per_batch).writeStream
-         .foreachBatch(batch)
-         .option("checkpointLocation", ckpt)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    if totals["batches"] and refresh_downstream:
-        totals.update(pipeline.clean(spark, root))
-        totals.update(pipeline.derive(spark, root))
-    lake.append_run_log(spark, root, "success" if totals["batches"] else "skipped",
+    task = "archive"
+    try:
+        q = (new_workbooks(spark, path, max_files_per_batch).writeStream
+             .foreachBatch(batch)
+             .option("checkpointLocation", ckpt)
+             .trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+        todo = _open_arrivals(spark, root)
+        work = todo is not None and not todo.isEmpty()
+        if work:
+            # the list is written first: what is taken at the end is what was read here
+            taking = lake.layer_path(root, "taking")
+            todo.write.mode("overwrite").parquet(taking)
+            todo = spark.read.schema(ARRIVALS).parquet(taking)
+            task = "ingest"
+            files = spark.read.parquet(lake.layer_path(root, "files")).join(
+                todo.select("hall_id", "file").distinct(), ["hall_id", "file"], "left_semi")
+            with workbook.few_files_per_batch(spark):
+                totals.update(pipeline.ingest(workbook.cells_of(files.withColumn("path", F.col("src_file"))), root))
+            if refresh_downstream:
+                task = "clean"
+                totals.update(pipeline.clean(spark, root))
+                task = "derive"
+                totals.update(pipeline.derive(spark, root))
+            todo.write.mode("append").parquet(lake.layer_path(root, "taken"))
+    except Exception as e:
+        lake.append_run_log(spark, root, "failed", failed_task=task, error=f"{type(e).__name__}: {e}",
+                            metrics={k: v for k, v in totals.items() if isinstance(v, int)})
+        raise
+    lake.append_run_log(spark, root, "success" if work else "skipped",
                         metrics={k: v for k, v in totals.items() if isinstance(v, int)})
     return totals
