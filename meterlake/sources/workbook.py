@@ -262,6 +262,11 @@ class few_files_per_batch:
         return False
 
 
+# Partition values are read as text: a hall called 007 stays one.
+ARCHIVE = ("src_file string, modificationTime timestamp, length long, sha256 string, content binary, "
+           "hall_id string, file string")
+
+
 def archive(files: DataFrame, root: str) -> dict:
     """Keep each original workbook under ``files/hall_id=<h>/file=<name>/`` with
     its time, length and SHA-256 digest. A later file of the same hall and name

@@ -87,7 +87,7 @@ def ingest_available(spark: SparkSession, path: str, root: str, *,
             todo.write.mode("overwrite").parquet(taking)
             todo = spark.read.schema(ARRIVALS).parquet(taking)
             task = "ingest"
-            files = spark.read.parquet(lake.layer_path(root, "files")).join(
+            files = spark.read.schema(workbook.ARCHIVE).parquet(lake.layer_path(root, "files")).join(
                 todo.select("hall_id", "file").distinct(), ["hall_id", "file"], "left_semi")
             with workbook.few_files_per_batch(spark):
                 totals.update(pipeline.ingest(workbook.cells_of(files.withColumn("path", F.col("src_file"))), root))
