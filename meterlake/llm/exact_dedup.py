@@ -5,8 +5,7 @@ buckets of the digest, and every bucket has a static binary-fuse filter. A
 new batch is first grouped by itself, one row per digest and task before the
 shuffle; its distinct digests are screened by the filters of each snapshot
 before it. Only positives are joined with the snapshot's exact buckets.
-Groups of two rows or more are then checked byte for byte: the least and the
-greatest normalised text of a digest must be the same text (one pair of texts
+Groups are then checked byte for byte: the least and the greatest normalised text of a digest must be the same text (one pair of texts
 per task and digest is shuffled, however many copies there are). A digest
 whose texts differ is split by text.
 
@@ -137,17 +136,16 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batc
     id), size. Rows alike in id and text are all reported."""
     rows = stage(digests(docs, id_col, text_col, batches), "digests")
     groups = stage(dedup_groups(rows, batches), "groups")
-    several = groups.filter("size > 1").select("digest")
     texts = docs.select(F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"),
                         normalised(text_col).alias("text"), *row_key(id_col, text_col))
-    copies = texts.join(several, "digest", "left_semi")
-    checked = copies.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+    # combined before the shuffle: no task reads the copies of a hot text
+    checked = texts.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
     clash = stage(checked.filter("lo <> hi").select("digest"), "clashes")
     same = groups.select("digest", F.col("best").alias("keep"), "size")
     if clash.isEmpty():
         return rows.join(same, "digest").select("_k1", "_k2", "id", "chars", "digest", "keep", "size")
     # one digest, several texts: these groups are formed by the text itself
-    split = copies.join(clash, "digest", "left_semi").join(
+    split = texts.join(clash, "digest", "left_semi").join(
         rows.select("_k1", "_k2", "id", "chars").distinct(), ["_k1", "_k2"])
     own = split.groupBy("digest", "text").agg(F.min(_better()).alias("keep"), F.count("*").alias("size"))
     apart = split.join(own, ["digest", "text"]).select("_k1", "_k2", "id", "chars", "digest", "keep", "size")
