@@ -151,7 +151,8 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = linked.join(roots, "root").select(F.col("node").alias("fp"), "root", "component")
     of = per.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component"))
-    return rows.join(of, "fp").select("_k1", "_k2", "id", "fp", "root", "component")
+    # written, so that the join below has two plain sides and a hot fingerprint can be split
+    return rows.join(stage(of, "components"), "fp").select("_k1", "_k2", "id", "fp", "root", "component")
 
 
 def survivors(docs: DataFrame, **params) -> DataFrame:
