@@ -33,7 +33,9 @@ SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 # The pipeline rejects a text with a lower score (or without letters).
 MIN_SCORE = 0.25
-_SLICE_CHARS = 6 << 20
+_SLICE_CHARS = 3 << 20
+# Words scored at a time, which bounds the table of their grams.
+_SCORE_WORDS = 30_000
 
 # First code points of script ranges (fixed values, blocks of Unicode); each
 # range ends where the next begins. 0 is any other script.
@@ -91,6 +93,8 @@ class Model:
     def words(self, words: list[str]) -> np.ndarray:
         """(words, languages); -1e6 for a language closed to the word's script,
         0 in all for a script that no language writes."""
+        if len(words) > _SCORE_WORDS:
+            return np.concatenate([self.words(words[i:i + _SCORE_WORDS]) for i in range(0, len(words), _SCORE_WORDS)])
         out = np.zeros((len(words), len(self.langs)))
         if not words:
             return out

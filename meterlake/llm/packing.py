@@ -35,7 +35,7 @@ END_ID = 1
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 # Pieces ranked in one window group on average.
 RANK_GROUP = 20_000
-_CACHE_WORDS = 700_000
+_CACHE_WORDS = 400_000
 _SLICE_BYTES = 4 << 20
 
 
@@ -62,8 +62,8 @@ def encoder(path: str, ranks_path: str) -> Callable[[list[str]], list[bytes]]:
     """texts -> their ids as little-endian unsigned 32-bit bytes.
 
     The ids are those of the tokenizer file. A pre-token must end before a
-    single space, so words between single spaces are encoded once per worker
-    and remembered (a bounded cache); the ranks file holds the same vocabulary
+    single space, so words between single spaces are encoded once per task
+    and remembered (``encode.words``, bounded and emptied by the task); the ranks file holds the same vocabulary
     and encodes such a word several times as fast. Texts with other runs of
     white space are encoded whole.
     """
@@ -102,6 +102,7 @@ def encoder(path: str, ranks_path: str) -> Callable[[list[str]], list[bytes]]:
         return [full(t) if c is None else full(c[0]) + b"".join(map(words.__getitem__, c[1:]))
                 for t, c in zip(texts, cut)]
 
+    encode.words = words
     return encode
 
 
@@ -132,6 +133,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
                 n = 6 if keep_ids else 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols[:n], kinds)], names=names[:n])
+        # the worker lives on for other stages
+        encode.words.clear()
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<int>" if keep_ids else "")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
