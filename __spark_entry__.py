@@ -46,6 +46,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the registered queries (fixed values of the test data).
 EDGE_RANGE = ("2024-01-03", "2024-01-30")
+F1_METERS = [f"Meter {i}" for i in range(7)]
 F1_HALLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 
 
@@ -126,6 +127,23 @@ def q_daily_pivot(spark, d):
     return _r2(R.daily_pivot(daily, F1_HALLS, column="hall_id", index=("day",)))
 
 
+def q_daily_pivot_meters(spark, d):
+    """Day x meter name per hall; meters without a name go to Other."""
+    daily = Q.daily_totals(_f1(spark, d), ordered=False)
+    return _r2(R.daily_pivot(daily, F1_METERS, column="meter_name", other="Other"))
+
+
+def q_daily_peak_absent_day(spark, d):
+    """The marked day lies outside the frame: the highest total is marked."""
+    g = _f1(spark, d)
+    later = Q.top_day(g).withColumn("day", F.date_add("day", 3650))
+    return _r2(R.daily_peak(Q.daily_totals(g, ordered=False), later))
+
+
+def q_peak_drilldown_whole_day(spark, d):
+    return _r2(D.peak_drilldown(_f1(spark, d), None, *EDGE_RANGE, end_inclusive_day=True))
+
+
 def q_daily_peak(spark, d):
     g = _f1(spark, d)
     return _r2(R.daily_peak(Q.daily_totals(g, ordered=False), Q.top_day(g)))
@@ -208,6 +226,10 @@ def q_parse_timestamps(spark, d):
     return _r2(SV.to_silver(_bronze(spark, d)))
 
 
+def q_fill_missing(spark, d):
+    return _r2(SV.to_silver(_bronze(spark, d), fill_missing=0.0))
+
+
 def q_conform_schema(spark, d):
     foreign = (FX.readings(spark, d).drop("meter_desc", "interval_minutes")
                .withColumn("props", F.lit("x")))
@@ -295,7 +317,10 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "peak_drilldown_large": q_peak_drilldown_large,
         "top_n_other": q_top_n_other,
         "daily_pivot": q_daily_pivot,
+        "daily_pivot_meters": q_daily_pivot_meters,
         "daily_peak": q_daily_peak,
+        "daily_peak_absent_day": q_daily_peak_absent_day,
+        "peak_drilldown_whole_day": q_peak_drilldown_whole_day,
         "peak_band": q_peak_band,
         "kpi_strings": q_kpi_strings,
         "daily_totals_hall": q_daily_totals_hall,
@@ -317,6 +342,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "last_writer": q_last_writer,
         "grid_records": q_grid_records,
         "parse_timestamps": q_parse_timestamps,
+        "fill_missing": q_fill_missing,
         "conform_schema": q_conform_schema,
         "silver_drilldown": q_silver_drilldown,
         "lake_drilldown": q_lake_drilldown,
@@ -654,6 +680,11 @@ def own_oracle_sql() -> dict[str, str]:
     halls = ", ".join(
         f"COALESCE(ROUND(SUM(CASE WHEN hall_id = '{h}' THEN daily_total END), 2), 0) AS \"{h}\""
         for h in F1_HALLS)
+    named = ", ".join(f"'{m}'" for m in F1_METERS)
+    meters = ", ".join(
+        f"COALESCE(ROUND(SUM(CASE WHEN {test} THEN daily_total END), 2), 0) AS \"{m}\""
+        for m, test in [*((m, f"meter_name = '{m}'") for m in F1_METERS),
+                        ("Other", f"meter_name NOT IN ({named})")])
     return {
         "hall_list": f"""WITH {_F1}
   SELECT DISTINCT hall_id FROM dim_hall WHERE hall_id IS NOT NULL ORDER BY hall_id""",
@@ -690,6 +721,10 @@ series AS (SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestam
         "peak_drilldown_range": _drill_sql(
             _F1, f"\"timestamp\" BETWEEN TIMESTAMP '{edge_a}' AND TIMESTAMP '{edge_b}'")
             + f" SELECT {_DRILL_COLS} FROM drill",
+        "peak_drilldown_whole_day": _drill_sql(
+            _F1, f"\"timestamp\" >= TIMESTAMP '{edge_a}' AND "
+                 f"\"timestamp\" < TIMESTAMP '{edge_b}' + INTERVAL 1 DAY")
+            + f" SELECT {_DRILL_COLS} FROM drill",
         "peak_drilldown_large": _drill_sql(_F2) + f" SELECT {_DRILL_COLS} FROM drill",
 
         "top_n_other": f"""WITH {_F1}, daily AS ({_daily_sql()}),
@@ -706,6 +741,15 @@ series AS (SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestam
         "daily_pivot": f"""WITH {_F1}, daily AS ({_daily_sql()})
   SELECT day, {halls} FROM daily GROUP BY day ORDER BY day""",
 
+        "daily_pivot_meters": f"""WITH {_F1}, daily AS ({_daily_sql()})
+  SELECT hall_id, day, {meters} FROM daily GROUP BY hall_id, day""",
+
+        "daily_peak_absent_day": f"""WITH {_F1}, daily AS ({_daily_sql()}),
+  t AS (SELECT hall_id, day, SUM(daily_total) AS dt FROM daily GROUP BY 1, 2)
+  SELECT hall_id, day AS peak_day, ROUND(dt, 2) AS peak_total, ROUND(dt, 2) AS marked_total FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY hall_id ORDER BY dt DESC, day) AS rn FROM t)
+  WHERE rn = 1""",
+
         "daily_peak": f"""WITH {_F1}, daily AS ({_daily_sql()}),
   t AS (SELECT hall_id, day, SUM(daily_total) AS dt FROM daily GROUP BY 1, 2),
   pk AS (SELECT hall_id, day AS peak_day, dt AS peak_total FROM (
@@ -771,6 +815,7 @@ series AS (SELECT hall_id, meter_id, CAST("timestamp" AS DATE) AS day, "timestam
   SELECT hall_id, sheet_key, hall_label, meter_id, meter_name, meter_desc, interval_minutes,
          src_file, sheet_idx, row_no, timestamp_raw, timestamp_kind, ROUND(value, 2) AS value, cells
   FROM bronze""",
+        "fill_missing": f"WITH {_F3_SILVER} SELECT * REPLACE (COALESCE(value, 0.0) AS value) FROM silver",
         "parse_timestamps": f"WITH {_F3_SILVER} SELECT * FROM silver",
         "conform_schema": f"""WITH {_F1}
   SELECT hall_id, hall_label, meter_id, meter_name, CAST(NULL AS VARCHAR) AS meter_desc, "timestamp",

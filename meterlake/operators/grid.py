@@ -334,6 +334,8 @@ def bronze_from(cells: DataFrame, profile: DataFrame, *, decimal_comma: bool = F
     recs = records(cells, kept, decimal_comma=decimal_comma, profile=profile)
     prov = kept.select(*S, "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name",
                        "meter_desc", "interval_minutes")
+    # at most one row per profile row: below the limit the records are not shuffled again
+    prov = checked_broadcast(prov, bound=profile, row_factor=4)
     return recs.join(prov, S).select(
         "hall_id", "sheet_key", "hall_label", "meter_id", "meter_name", "meter_desc",
         "interval_minutes", "src_file", "sheet_idx", "row_no", "timestamp_raw",

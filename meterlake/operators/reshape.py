@@ -27,15 +27,25 @@ def top_n_other(daily: DataFrame, top_n: int = DEFAULT_TOP_N, key: str = "meter_
 
 
 def daily_pivot(long: DataFrame, values: list, column: str = "meter_group",
-                index=("hall_id", "day"), measure: str = "daily_total") -> DataFrame:
+                index=("hall_id", "day"), measure: str = "daily_total",
+                other: str | None = None) -> DataFrame:
     """Day x ``column`` sums, 0 where a combination is missing, by day.
 
     ``values`` is the explicit column list (bounded output schema, and no
-    extra job to discover the distinct values).
+    extra job to discover the distinct values). Rows of any other value,
+    NULL too, are summed in the column ``other``; without one they fail the
+    query rather than vanish from it.
     """
     index = list(index)
-    p = long.groupBy(*index).pivot(column, list(values)).agg(F.sum(measure))
-    return p.na.fill(0.0, subset=[str(v) for v in values]).orderBy(*index)
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    rest = (F.lit(other) if other is not None else
+            F.raise_error(F.concat(F.lit(f"value of {column} without a pivot column: "),
+                                   F.coalesce(F.col(column).cast("string"), F.lit("NULL")))).cast("string"))
+    names = [*values] if other is None or other in values else [*values, other]
+    folded = long.select(*index, F.when(listed, F.col(column).cast("string")).otherwise(rest).alias("_to"),
+                         F.col(measure).alias("_m"))
+    p = folded.groupBy(*index).pivot("_to", [str(v) for v in names]).agg(F.sum("_m"))
+    return p.na.fill(0.0, subset=[str(v) for v in names]).orderBy(*index)
 
 
 def daily_peak(daily: DataFrame, top_day: DataFrame | None = None,

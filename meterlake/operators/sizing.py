@@ -5,10 +5,12 @@ too small, e.g. after an ``explode``), and AQE only measures a side after
 the other side's shuffle has already run. Where a join pairs a large input
 (the fact, the cells) with a table whose size is bounded by a stored table
 (a dimension, the column profile), ``checked_broadcast`` marks the small
-side for broadcast when that stored table's file size is under the
-broadcast limit, so the large side is never shuffled for the join; beyond
-the limit, or when the bound is itself a derived plan, the join is left to
-AQE (sort-merge, measured conversion, skew splitting).
+side for broadcast when that stored table's rows, counted and measured
+unpacked, are under the broadcast limit, so the large side is never shuffled
+for the join; beyond the limit, or when the bound is itself a derived plan, the
+join is left to AQE (sort-merge, measured conversion, skew splitting). File
+sizes only rule a broadcast out: a repetitive table can take hundreds of times
+its compressed size in memory.
 """
 
 from __future__ import annotations
@@ -25,6 +27,21 @@ def size_estimate(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Bytes of a row in memory besides the contents of its texts, per row and per column.
+ROW_BYTES, COLUMN_BYTES = 32, 16
+_FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp",
+          "timestamp_ntz"}
+
+
+def unpacked_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of ``df`` in memory: fixed bytes per row and column
+    plus the measured length of every other column. One row comes back."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("long")
+             for c, kind in df.dtypes if kind not in _FIXED]
+    own = sum(texts, F.lit(ROW_BYTES + COLUMN_BYTES * len(df.columns)).cast("long"))
+    return int(df.agg(F.sum(own)).first()[0] or 0)
+
+
 def broadcast_limit(df: DataFrame) -> int:
     v = df.sparkSession.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
     try:
@@ -55,11 +72,13 @@ def checked_broadcast(df: DataFrame, bound: DataFrame | None = None,
                       row_factor: int = 1) -> DataFrame:
     """``df`` marked for broadcast when ``bound`` (a stored table with at
     least as many rows as ``df``; ``df`` itself by default) is under the
-    broadcast limit after ``row_factor`` x its file size; ``df`` unchanged
+    broadcast limit after ``row_factor`` x its unpacked size; ``df`` unchanged
     otherwise, and always when ``bound`` is a derived plan (its size is not
     known until AQE measures it)."""
     b = df if bound is None else bound
     if not is_stored(b):
         return df
-    size = size_estimate(b) * max(1, int(row_factor))
-    return F.broadcast(df) if size <= broadcast_limit(df) else df
+    limit = broadcast_limit(df)
+    if size_estimate(b) > limit or unpacked_bytes(b) * max(1, int(row_factor)) > limit:
+        return df
+    return F.broadcast(df)

@@ -7,16 +7,18 @@ at once:
 1. fact rows of the covered days are aggregated once at (hall, day, meter)
    grain with two sums: inside the requested range (step 1) and the whole day
    (step 2 filters by the winning day, not by the range);
-2. the best day per hall and the best meter on that day come from
-   ``row_number`` windows over that aggregate (bounded: days per hall, then
-   meters of one day per hall);
+2. a window adds each day's total to its meters, ``dense_rank`` keeps the
+   meters of the best day per hall and ``row_number`` the best of them. Both
+   rankings run a partial group limit before their shuffle, so of a hot hall
+   each task sends the meters of one day at most;
 3. readings of each hall's winning (meter, day) are selected by a join of the
-   fact with the one-row-per-hall winner table (sized by AQE at run time,
-   broadcast when small) and reduced to the peak interval, carrying the
-   winner columns along.
+   fact with the one-row-per-hall winner table (broadcast behind a check of
+   the hall dimension, otherwise sized by AQE at run time) and reduced to the
+   peak interval, carrying the winner columns along.
 
-The fact is scanned twice in total: once for the aggregate (which feeds the
-day and meter steps) and once, filtered, for step 3.
+The fact is scanned twice: once for the aggregate, which is used once, and
+once, filtered, for step 3. Over derived gold a derived dimension may read the
+fact's source again.
 """
 
 from __future__ import annotations
@@ -53,27 +55,22 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
     """Steps 1 and 2: (hall_id, top_day, top_day_total, top_meter_id,
     top_meter_name, top_meter_total), one row per hall with data.
 
-    The (hall, day, meter) aggregate is the only pass over the fact; the
-    day step reduces it to one row per hall, the meter step joins that row
-    back (one row per hall: broadcast once AQE has measured it) and carries
-    the day's columns, so the result needs no further join."""
+    The (hall, day, meter) aggregate is the only pass over the fact and is
+    read once: the day's total rides along as a window sum, so the best day's
+    meters are kept without joining a day table back."""
     ts = F.col("timestamp")
     f = _fact(gold, hall).where(covering_days(ts, start, end))
-    agg = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
+    agg = (f.groupBy("hall_id", reading_day().alias("top_day"), "meter_id")
            .agg(F.sum(F.when(in_range(ts, start, end, end_inclusive_day), F.col("value")))
                 .alias("_range_s"),
                 F.sum("value").alias("_s")))
 
-    days = (agg.groupBy("hall_id", "day").agg(F.sum("_range_s").alias("top_day_total"))
-            .where(F.col("top_day_total").isNotNull()))
-    w1 = Window.partitionBy("hall_id").orderBy(F.desc("top_day_total"), F.asc("day"))
-    best_day = (days.withColumn("_rn", F.row_number().over(w1)).where("_rn = 1")
-                .select(F.col("hall_id").alias("_bh"), F.col("day").alias("top_day"),
-                        "top_day_total"))
-
-    best_day = per_hall_broadcast(best_day, _halls(gold))
-    on_best = (agg.join(best_day, (F.col("hall_id") == F.col("_bh"))
-                        & (F.col("day") == F.col("top_day")))
+    # every meter of a day carries the same total, so rank 1 is one whole day
+    day_total = F.sum("_range_s").over(Window.partitionBy("hall_id", "top_day"))
+    w1 = Window.partitionBy("hall_id").orderBy(F.desc("top_day_total"), F.asc("top_day"))
+    on_best = (agg.withColumn("top_day_total", day_total)
+               .where(F.col("top_day_total").isNotNull())
+               .withColumn("_rank", F.dense_rank().over(w1)).where("_rank = 1")
                .select("hall_id", "top_day", "top_day_total", "meter_id", "_s"))
     named = _with_names(on_best, gold.dim_meter if dim_meter is None else dim_meter,
                         ["hall_id", "top_day", "top_day_total"], "top_meter_total")

@@ -101,3 +101,51 @@ def test_checked_broadcast_decisions(spark):
         assert not broadcasts(checked_broadcast(derived, bound=stored))  # over the limit
     finally:
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+
+
+def test_repetitive_table_is_not_broadcast_by_its_file_size(spark):
+    import os
+    import tempfile
+    from pyspark.sql import functions as F
+    from meterlake.operators.sizing import checked_broadcast, size_estimate, unpacked_bytes
+    path = os.path.join(tempfile.mkdtemp(prefix="ml-size-"), "t")
+    spark.range(100_000).select((F.col("id") % 3).alias("k"), F.lit("x" * 300).alias("name")).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert size_estimate(df) < 1 << 20 and unpacked_bytes(df) >= 100_000 * 300
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(8 << 20))
+        assert "BroadcastExchange" not in plan_of(spark.range(10).join(checked_broadcast(df), F.col("id") == F.col("k")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+
+
+def test_drilldown_reads_the_fact_twice(spark):
+    from meterlake.plans import drilldown as D
+    from meterlake.plans import pipeline as P
+    from meterlake.sources import fixtures as FX
+    from meterlake.sources import lake
+    root = lake.scratch_root(spark)
+    P.run(spark, FX.cells(spark, SF), root)
+    gold = lake.read_gold(spark, root)
+    # without dynamic pruning, whose subquery prints the winners' plan again and reuses its broadcast
+    spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "false")
+    try:
+        for df in (D.peak_drilldown(gold), D.peak_drilldown(gold, None, "2024-01-05", "2024-01-20")):
+            p = plan_of(df)
+            assert sum("FileScan" in ln and "value" in ln for ln in p.splitlines()) == 2, p
+            assert "WindowGroupLimit" in p
+    finally:
+        spark.conf.unset("spark.sql.optimizer.dynamicPartitionPruning.enabled")
+
+
+def test_pivot_loses_no_value(spark):
+    from meterlake.operators.reshape import daily_pivot
+    d = spark.createDataFrame([("h", 1, "a", 1.0), ("h", 1, "b", 2.0), ("h", 1, None, 4.0), ("h", 2, "c", 8.0)],
+                              "hall_id string, day int, meter_group string, daily_total double")
+    got = {r.day: (r.a, r.Other) for r in daily_pivot(d, ["a"], other="Other").collect()}
+    assert got == {1: (1.0, 6.0), 2: (0.0, 8.0)}
+    assert daily_pivot(d.filter("meter_group in ('a', 'b')"), ["a", "b"]).count() == 1
+    for bad in ("meter_group = 'c'", "meter_group is null"):
+        with pytest.raises(Exception, match="without a pivot column"):
+            daily_pivot(d.filter(bad), ["a"]).collect()
