@@ -50,8 +50,8 @@ def column_profile(cells: DataFrame, *, decimal_comma: bool = False) -> DataFram
     A column holds at most one cell per row, so the filtered list of a
     header row has at most one element. The texts are gathered with
     ``collect_list`` rather than ``max``: a string ``max`` cannot use a hash
-    aggregate and would sort every cell; with ``collect_list`` the whole
-    aggregate is hash based (partial per task, then final), so a column of a
+    aggregate and would sort every cell. With ``collect_list`` a task hashes
+    until it holds 128 keys and sorts from there on; either way a column of a
     huge sheet shrinks to one row per task before the shuffle. The sheet
     title is constant per sheet and rides along as a grouping key.
     """
