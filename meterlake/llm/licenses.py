@@ -1,8 +1,11 @@
 """License scan by sentence rules.
 
-Texts are cut into sentences, each is normalised (lower case, runs of other
-characters than letters and digits become a space) and looked up in a table of
-known licence sentences. The identifiers found, in order, are matched against
+Texts are cut into sentences, which end at punctuation, a blank line (also one
+of comment marks only) or the text's end; each is normalised (lower case, runs
+of other characters than letters and digits become a space). A known licence
+sentence is a whole sentence or whole lines of one, so it may be wrapped over
+lines, in a comment or not, and a notice on a line of its own is found without
+punctuation around it. The identifiers found, in order, are matched against
 licence rules: sequences of identifiers, the first rule that fits at a place
 taking its identifiers. All steps are expressions on a row; nothing is
 shuffled, so no text, however frequent, meets another.
@@ -84,17 +87,35 @@ def rule_pattern() -> str:
     return "|".join("".join(re.escape(i) + ";" for i in ids) for _, ids in rules())
 
 
+def sentence_pattern() -> str:
+    """Matches the longest known sentence at each start of a line, up to the
+    end of a line, in a text of ``_lines``."""
+    known = sorted(known_sentences(), key=lambda t: (-len(t), t))
+    return r"(?<![^\nP])(?:" + "|".join(t.replace(" ", r"[ \n]") for t in known) + r")(?![^\nP])"
+
+
+def _lines(text: Column) -> Column:
+    """Normalised text: a newline where a sentence goes on in the next line, a
+    ``P`` (no capital is left by then) where one ends."""
+    t = ascii_lower(F.coalesce(text, F.lit("")))
+    # comment marks such as ';' and '!' at the start of a line end no sentence
+    t = F.regexp_replace(t, r"(^|\n)[^0-9a-z\n.:?]++", "$1")
+    t = F.regexp_replace(t, "[.!?;:](?=[^0-9a-z])", "P")
+    t = F.regexp_replace(t, r"[^0-9a-zP\n]++", " ")
+    t = F.regexp_replace(t, r"[ \n]*+P[ \nP]*+| *+\n *+\n[ \nP]*+", "P")
+    return F.btrim(F.regexp_replace(t, r" *+\n *+", "\n"), F.lit(" \nP"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_sentences, sentence_ids (joined by ``;``), licenses
-    (sorted, joined by ``,``), n_matches. Null counts as empty; a text without
-    a known sentence has empty strings and 0 matches."""
-    low = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    cut = F.split(F.regexp_replace(low, "[.!?;:]([^0-9a-z])", "\n$1"), "\n")
-    normal = F.filter(F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^0-9a-z]+", " "))), lambda s: s != "")
+    """Per row: doc_id, n_sentences (pieces between punctuation and line ends),
+    sentence_ids (joined by ``;``), licenses (sorted, joined by ``,``),
+    n_matches. Null counts as empty; a text without a known sentence has empty
+    strings and 0 matches."""
     table, names = _literal_map(known_sentences()), _literal_map({"".join(i + ";" for i in ids): n for n, ids in rules()})
-    d = docs.select(F.col(id_col).alias("doc_id"), normal.alias("s"))
-    d = d.select("doc_id", F.size("s").cast("long").alias("n_sentences"),
-                 F.filter(F.transform("s", lambda s: F.try_element_at(table, s)), lambda i: i.isNotNull()).alias("ids"))
+    d = docs.select(F.col(id_col).alias("doc_id"), _lines(F.col(text_col)).alias("t"))
+    found = F.regexp_extract_all("t", F.lit(sentence_pattern()), F.lit(0))
+    d = d.select("doc_id", F.when(F.col("t") == "", 0).otherwise(F.length("t") - F.length(F.translate("t", "\nP", "")) + 1).cast("long").alias("n_sentences"),
+                 F.transform(found, lambda s: F.try_element_at(table, F.translate(s, "\n", " "))).alias("ids"))
     d = d.withColumn("sentence_ids", F.array_join(F.transform("ids", lambda i: F.concat(i, F.lit(";"))), ""))
     d = d.withColumn("m", F.regexp_extract_all("sentence_ids", F.lit(rule_pattern()), F.lit(0)))
     found = F.array_sort(F.array_distinct(F.transform("m", lambda x: F.try_element_at(names, x))))

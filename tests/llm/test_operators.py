@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -411,6 +412,25 @@ def test_license_rules(spark, docs, rows):
     assert licenses.scan(docs).count() == len(rows)
 
 
+def test_wrapped_licenses(spark):
+    text = dict(licenses._SENTENCES)
+    wrap = lambda i, width, mark="": textwrap.fill(text[i], width, initial_indent=mark, subsequent_indent=mark)
+    mit = lambda mark, w=60: f"{wrap('mit-grant', w, mark)}:\n{mark}\n{wrap('mit-notice', w, mark)}.\n"
+    bsd = "\n".join(f"{n}{wrap(i, 50, '   ')}{e}" for n, i, e in [
+        ("", "bsd-redistribution", ":\n"), ("1.", "bsd-source", "."), ("2.", "bsd-binary", "."), ("3.", "bsd-endorse", ".")])
+    isc = wrap("isc-grant", 40)
+    texts = {
+        "MIT": [mit(m) for m in ("", " * ", "# ", "// ", ";; ", "! ", "-- ")] + [mit("", 20), mit(" * ").replace("\n", "\r\n")],
+        "BSD-3-Clause": [bsd], "BSD-2-Clause": [bsd[:bsd.index("3.")]],
+        "ISC": [isc, "Copyright 2020 A B\n" + isc + ".\nText", "Head\n" + isc + "\nno punctuation at all"],
+        "GPL": ["# This program is free\n# software; you can"], "Apache-2.0": ["/* Licensed under the Apache\n * License, Version 2.0 (the\n * \"License\");"],
+        "Proprietary": ["Copyright (c) X\nAll rights reserved\nmore"],
+        "": [isc.replace("\n", "\n\n", 1), isc.replace("\n", ".\n", 1), "not " + isc, isc + " not", "Released under\n\nthe MIT License"]}
+    rows = [(i, t, k) for i, (k, t) in enumerate((k, t) for k, ts in texts.items() for t in ts)]
+    got = {r.doc_id: (r.licenses, r.n_matches) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, l string")).collect()}
+    assert got == {i: (k, int(k != "")) for i, _, k in rows}
+
+
 # --- op8
 
 def test_url_rules(spark):
