@@ -3,12 +3,17 @@
 Base spans come from four exact patterns with their checks and always stay.
 High-recall generators propose further spans, which may overlap each other and
 the base spans (obfuscated addresses, numbers without the plus sign, other
-separators). Each candidate has yes/no features of its format and of the text
-around it. Boosted trees are fitted on the count of candidates by feature mask
-over the whole corpus, a candidate that a base span of its kind confirms being
-positive; the threshold of each kind is calibrated on a held-out part to a
-target precision. Candidates above it that overlap no base span are added,
-the best of those that overlap each other.
+separators). Each candidate has yes/no features of its content and of the text
+around it, none of which tells how it is spelled. Boosted trees are fitted on
+the count of candidates by feature mask over the whole corpus: a candidate that
+passes its check (octets, Luhn, digit count, form of an address) and that a
+base span of its kind confirms is positive, one that fails its check and
+overlaps no base span is negative, and all others, among them all that may be
+added, have no label. A small fixed sample of labelled cases (``SAMPLE``) is
+counted as well, so that a kind without base spans in the corpus has labels too.
+The threshold of each kind is calibrated on a held-out part and the sample to a
+target precision. Candidates above it that overlap no base span are added, the
+best of those that overlap each other.
 
 A row's spans stay in arrays of that row: texts are read once, nothing is
 shuffled but the counts by mask. The patterns' repeats are possessive where a
@@ -18,14 +23,14 @@ shorter match could not help, so that long texts cost no backtracking.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import boosting
 from meterlake.llm.common import stage
 
 KINDS = ["email", "ip", "card", "phone"]
-# Calibrated share of confirmed candidates from which on a span is redacted.
+# Calibrated share of positives among labelled candidates from which on a span is redacted.
 PRECISION = 0.9
 CONTEXT_CHARS = 24
 
@@ -42,14 +47,32 @@ NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
 # Generators: kind, pattern, what the text must match to be searched.
 GENERATORS = [
-    ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++",
+    # a dot with a space on one side is taken only where no other dot follows the host, as it mostly ends a sentence
+    ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++"
+              r"(?:(?:(?:\.| \. (?![A-Z][a-z])| ?(?:\(dot\)|\[dot\]|\[\.\]) ?)[A-Za-z0-9-]++)++|(?: ?\. ?[A-Za-z0-9-]++)++)",
      r"@|\(at\)|\[at\]"),
     ("ip", r"(?<![0-9A-Za-z.])[0-9]{1,3}+(?:(?:\.| \. |\[\.\])[0-9]{1,3}+){3}(?![0-9])", r"[0-9]"),
     ("card", r"(?<![0-9])[0-9](?:[ ._/-]{0,2}+[0-9]){11,22}+", r"[0-9]"),
     ("phone", r"(?:\+|(?<![0-9A-Za-z+]))\(?[0-9]{1,4}+\)?(?:[ ./-]{1,2}+\(?[0-9]{2,5}+\)?){2,5}+", r"[0-9]"),
 ]
 CUES = r"(?i)(?:tel|phone|call|fax|mobile|mail|contact|reach|card|visa|account|iban|ip|address|host|server)[^A-Za-z]*$"
-FEATURES = 14  # bits of a mask; the first four are the kind
+FEATURES = 12  # bits of a mask; the first four are the kind, the last two whether its check is passed and NUMBER
+DATE = r"^(?:(?:19|20)[0-9]{2}([./ -])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./ -])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])"
+THOUSANDS = r"^[1-9][0-9]{0,2}([ .])[0-9]{3}(?:\1[0-9]{3})+$"
+
+# Labelled cases of each kind: (kind, whether they are personal data, texts, whether also after a cue).
+SAMPLE = [
+    ("email", True, ["ann (at) mail (dot) org", "bob.k @ host . example . com", "c_d[at]site[dot]net", "eve @ uni.edu", "jo (at) a.co.uk", "kim@x[.]org"], True),
+    ("email", False, ["me @ home. thanks", "two @ 1.99", "five @ 3 . 50", "lunch @ noon. bye"], True),
+    ("ip", True, ["10[.]0[.]0[.]7", "192 . 168 . 1 . 20", "8[.]8[.]4[.]4", "172[.]16[.]254[.]1"], True),
+    ("ip", False, ["1[.]300[.]2[.]4", "999 . 1 . 1 . 1", "256[.]1[.]1[.]1", "10 . 20 . 30 . 400"], True),
+    ("card", True, ["4111.1111.1111.1111", "5555/5555/5555/4444", "4012_8888_8888_1881", "6011  1111  1111  1117"], True),
+    ("card", False, ["4111.1111.1111.1112", "5555/5555/5555/4445", "4012_8888_8888", "6011  1111  1111  1118"], True),
+    ("phone", True, ["555 123 4567", "(499) 555-6503", "030 123 4567", "01.23.45.67.89", "020 7946 0018"], True),
+    ("phone", False, ["2024-01-02", "02.01.2024", "12 34 56", "1999/12/31"], True),
+    ("phone", False, ["10 000 000", "1.234.567.890"], False),
+]
+AROUND = [(b + "{}" + a, cue) for b, cue in (("", False), ("see ", False), ('="', False), ("mail: ", True), ("mail:", True)) for a in ("", " or", '"')]
 
 
 def _positions(text: Column, pattern: str) -> Column:
@@ -103,18 +126,29 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(may, _checked(kind, _positions(text, BASE[kind]))).otherwise(_none())
 
 
+def _passes(kind: str, t: Column, after: Column) -> Column:
+    """Whether a candidate, however it is spelled, passes the check of its kind."""
+    n = F.length(_digits(t))
+    if kind == "email":
+        plain = F.regexp_replace(F.regexp_replace(t, r" ?(?:@|\(at\)|\[at\]) ?", "@"), r" ?(?:\(dot\)|\[dot\]|\[\.\]) ?| \. ", ".")
+        return plain.rlike(r"^[^@ ]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z][A-Za-z0-9-]*+$")
+    if kind == "ip":
+        return F.forall(F.filter(F.split(t, "[^0-9]+"), lambda x: x != ""), lambda x: x.cast("int") <= 255)
+    if kind == "card":
+        return n.between(16, 19) & luhn(t)
+    return n.between(8, 15) & ~after.rlike("[0-9]")
+
+
 def _mask(kind: str, text: Column, m: Column) -> Column:
     """The features of a candidate as bits."""
     t = m["t"]
     before = F.substring(text, F.greatest(m["s"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(m["s"], F.lit(CONTEXT_CHARS)))
     after = F.substring(text, m["e"] + 1, F.lit(1))
     digits = F.length(_digits(t))
-    separators = F.regexp_replace(t, "[0-9A-Za-z+]", "")
+    number = t.rlike(DATE) | (t.rlike(THOUSANDS) & ~before.rlike(CUES)) if kind == "phone" else F.lit(False)
     bits = [F.lit(kind == k) for k in KINDS] + [
         before.rlike(CUES), before.rlike(r"(?:^|\s)$"), (after == "") | after.rlike(r"[\s.,;!?)%&*#$]"),
-        digits.between(8, 15), digits.between(16, 19), luhn(t) & (digits >= 12), t.rlike(r"\("),
-        F.length(separators) == F.length(F.regexp_replace(separators, "[. ]", "")),
-        t.rlike(r"[0-9]{5}"), t.rlike(r"(?:at|dot)[)\]]|\s[.@]\s")]
+        digits.between(8, 15), digits.between(16, 19), luhn(t) & (digits >= 12), _passes(kind, t, after), number]
     assert len(bits) == FEATURES
     out = F.lit(0).cast("long")
     for i, b in enumerate(bits):
@@ -149,19 +183,34 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     F.array(*[plain(k) for k in KINDS]).alias("base"), F.concat(*lists).alias("cand"))
 
 
+def sample_counts(spark: SparkSession) -> list[tuple[int, float, float]]:
+    """(mask, positives, negatives) of the labelled cases, each in all
+    surroundings that its label holds in."""
+    rows = [(KINDS.index(k), good, around.format(t)) for k, good, texts, cued in SAMPLE for t in texts for around, cue in AROUND if cued or not cue]
+    d = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, text string")
+    found = candidates(d).select("id", F.explode("cand").alias("c")).select("id", "c.kind", "c.mask", "c.hit").collect()
+    return [(r["mask"], float(rows[r["id"]][1]), float(not rows[r["id"]][1])) for r in found if rows[r["id"]][0] == r["kind"] and not r["hit"]]
+
+
 def fit(cands: DataFrame, precision: float = PRECISION) -> tuple[boosting.Boosted, list[float]]:
     """Trees and each kind's threshold from the counts by mask (at most 4 x
-    2^10 masks in two folds, whatever the corpus)."""
+    2^8 masks in two folds, whatever the corpus) and the labelled cases."""
+    passes = F.col("c.mask").bitwiseAND(F.lit(1 << (FEATURES - 2))) != 0
     c = cands.select("held", F.explode("cand").alias("c")).groupBy("held", "c.mask").agg(
-        F.sum(F.col("c.ok").cast("long")).alias("pos"), F.count("*").alias("n")).collect()
+        F.sum((F.col("c.ok") & passes).cast("long")).alias("pos"), F.sum((~F.col("c.hit") & ~passes).cast("long")).alias("neg")).collect()
+    known = sample_counts(cands.sparkSession)
 
     def counts(held: bool):
-        rows = sorted((r["mask"], r["pos"], r["n"] - r["pos"]) for r in c if r["held"] == held)
-        a = np.array(rows, dtype=np.int64).reshape(-1, 3)
-        return a[:, 0], a[:, 1].astype(float), a[:, 2].astype(float)
+        total: dict[int, list[float]] = {}
+        for mask, pos, neg in [(r["mask"], r["pos"], r["neg"]) for r in c if r["held"] == held] + known:
+            t = total.setdefault(mask, [0.0, 0.0])
+            t[0], t[1] = t[0] + pos, t[1] + neg
+        rows = sorted((m, *t) for m, t in total.items() if t[0] + t[1] > 0)
+        return (np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=float),
+                np.array([r[2] for r in rows], dtype=float))
 
     mask, pos, neg = counts(False)
-    model = boosting.fit(mask, pos, neg, FEATURES) if len(mask) else boosting.Boosted()
+    model = boosting.fit(mask, pos, neg, FEATURES)
     mask, pos, neg = counts(True)
     cuts = []
     for k in range(len(KINDS)):

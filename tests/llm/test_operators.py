@@ -207,6 +207,38 @@ def test_pii_whole_table(spark):
     _check_pii(got, texts)
 
 
+@pytest.mark.parametrize("planted,plain", [(1, 400), (40, 400), (400, 40), (400, 0)])
+def test_pii_adds_other_spellings_at_any_share(spark, planted, plain):
+    r = random.Random(planted)
+    num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    ip = lambda dot: dot.join(str(r.randrange(256)) for _ in range(4))
+    base = [lambda: f"u{num(3)}@mail.example.com", lambda: ip("."), lambda: "4111 1111 1111 1111", lambda: f"+1 ({num(3)}) 555-{num(4)}"]
+    other = [("email", lambda: f"u{num(3)} (at) mail (dot) org"), ("email", lambda: f"u{num(3)} @ host . example . com"),
+             ("email", lambda: "a @ b . c"), ("email", lambda: f"u{num(3)}[at]x[dot]net"), ("ip", lambda: ip("[.]")), ("ip", lambda: ip(" . ")),
+             ("phone", lambda: f"({num(3)}) 555-{num(4)}"), ("phone", lambda: f"555 {num(3)} {num(4)}"), ("phone", lambda: f"555.{num(3)}.{num(4)}"),
+             ("card", lambda: "4111.1111.1111.1111")]
+    wrong = ["4111.1111.1111.1112", "300[.]1[.]1[.]1", "two @ 1.99", "me @ home. Thanks", "2024-01-02", "10 000 000", "12 34 56"]
+    around = [("some words ", " go on"), ("Reach me: ", ". Then more"), ("", "")]
+    texts, want = [], {}
+
+    def put(x, kind=None):
+        b, a = r.choice(around)
+        want[len(texts)] = f"{kind}:{len(b)}:{len(b + x)}" if kind else ""
+        texts.append(b + x + a)
+
+    for k, f in other:
+        for _ in range(planted):
+            put(f(), k)
+    for i, x in enumerate(wrong * 20):
+        want[len(texts)] = ""
+        texts.append(f"some words {x} go on")
+    n = len(texts)
+    texts += ["some words " + f() + " go on" for f in base for _ in range(plain)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x.id: x.spans for x in pii.detect(d).select("id", pii.span_text("spans").alias("spans")).collect()}
+    assert {texts[i]: got[i] for i in range(n) if got[i] != want[i]} == {}
+
+
 def test_boosting_learns_a_conjunction():
     mask = np.arange(16)
     pos = np.where((mask & 5) == 5, 90.0, 5.0)
