@@ -1,11 +1,12 @@
 """Threshold-scaled document fingerprints.
 
 Of all hashes of five-word shingles, those below a fixed fraction of the range
-are kept, so sketches of documents of any length share one threshold: the
-union of two sketches is the sketch of both texts, and containment of a short
-text in a very long one is estimated from the kept hashes alone. A text with
-shingles of which none is below keeps its least hash, so that its fingerprint
-is not empty.
+are kept, so sketches of documents of any length share one threshold, and
+containment of a short text in a very long one is estimated from the kept
+hashes alone. A text with shingles of which none is below keeps its least hash,
+so that its fingerprint is not empty. That hash lies above the threshold, which
+marks such a sketch: nothing is estimated from it, values of the pair come from
+the texts.
 """
 
 from __future__ import annotations
@@ -20,32 +21,90 @@ WORDS = 5
 SCALE = 8
 
 
-def with_sketch(df: DataFrame, text: str, out: str, words: int = WORDS, scale: int = SCALE) -> DataFrame:
-    """``out``: sorted distinct kept hashes of the shingles of column ``text``
-    (lower-cased A-Z; fewer words: the whole sequence; none: empty)."""
-    w, h = f"_{out}_w", f"_{out}_h"
-    cut = F.filter(F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+def with_hashes(df: DataFrame, text: Column, out: str, words: int = WORDS) -> DataFrame:
+    """``out``: hashes of all shingles of ``text`` (lower-cased A-Z; fewer
+    words: the whole sequence; none: empty)."""
+    w = f"_{out}_w"
+    cut = F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda x: x != "")
     df = df.withColumn(w, cut)
     items = ", ".join(f"`{w}`[i + {k}]" for k in range(words))
-    df = df.withColumn(h, F.expr(
+    return df.withColumn(out, F.expr(
         f"case when size(`{w}`) >= {words} then transform(sequence(0, size(`{w}`) - {words}), i -> xxhash64({items})) "
-        f"when size(`{w}`) > 0 then array(xxhash64(array_join(`{w}`, ' '))) else cast(array() as array<bigint>) end"))
-    below = LONG_MIN + (1 << 64) // scale
-    kept = F.expr(f"array_sort(array_distinct(filter(`{h}`, h -> h < {below})))")
+        f"when size(`{w}`) > 0 then array(xxhash64(array_join(`{w}`, ' '))) else cast(array() as array<bigint>) end")).drop(w)
+
+
+def threshold(scale: int = SCALE) -> int:
+    return LONG_MIN + (1 << 64) // scale
+
+
+def with_sketch(df: DataFrame, text: str, out: str, words: int = WORDS, scale: int = SCALE) -> DataFrame:
+    """``out``: sorted distinct kept hashes of the shingles of column ``text``
+    (empty without words)."""
+    h = f"_{out}_h"
+    df = with_hashes(df, F.col(text), h, words)
+    kept = F.expr(f"array_sort(array_distinct(filter(`{h}`, h -> h < {threshold(scale)})))")
     least = F.when(F.size(h) > 0, F.array(F.array_min(h))).otherwise(F.col(h))
-    df = df.withColumn(out, kept).drop(w)
+    df = df.withColumn(out, kept)
     return df.withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(least)).drop(h)
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated Jaccard similarity; 1 for two texts without words."""
+def fell_back(a: str, scale: int = SCALE) -> Column:
+    """Whether a sketch holds a least hash above the threshold only."""
+    return F.coalesce(F.get(F.col(a), F.lit(0)) >= F.lit(threshold(scale)), F.lit(False))
+
+
+def _jaccard(a: str, b: str) -> Column:
     both = F.size(F.array_union(a, b))
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
-def containment(a: str, b: str) -> Column:
-    """Estimated share of ``a``'s shingles that ``b`` has; 1 if ``a`` has none."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+def _part(a: str, b: str) -> Column:
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_distinct(a)))
+
+
+def likeness(a: str, b: str, scale: int = SCALE) -> Column:
+    """Estimated Jaccard similarity of two sketches; 1 if neither text has
+    words, 0 if one has none. Null where a side fell back otherwise."""
+    unknown = (fell_back(a, scale) & (F.size(b) > 0)) | (fell_back(b, scale) & (F.size(a) > 0))
+    return F.when(~unknown, _jaccard(a, b))
+
+
+def containment(a: str, b: str, scale: int = SCALE) -> Column:
+    """Estimated share of ``a``'s shingles that ``b`` has; 1 if ``a`` has none,
+    0 if only ``b`` has none. Null where a side fell back otherwise."""
+    unknown = (fell_back(a, scale) & (F.size(b) > 0)) | (fell_back(b, scale) & (F.size(a) > 0))
+    return F.when(~unknown, _part(a, b))
+
+
+def union(a: str, b: str, scale: int = SCALE) -> Column:
+    """The sketch of the shingles of both sides."""
+    both = F.array_sort(F.array_union(a, b))
+    return F.when(F.get(both, F.lit(0)) < F.lit(threshold(scale)), F.filter(both, lambda h: h < F.lit(threshold(scale)))) \
+        .otherwise(F.slice(both, 1, 1))
+
+
+def _with_value(df: DataFrame, estimate, exact, out: str, a: str, sketch_a: str, b: str, sketch_b: str,
+                words: int, scale: int) -> DataFrame:
+    value, open_, ha, hb = f"_{out}_e", f"_{out}_o", f"_{out}_a", f"_{out}_b"
+    df = df.withColumn(value, estimate(sketch_a, sketch_b, scale)).withColumn(open_, F.col(value).isNull())
+    # texts are hashed in full in such rows only
+    df = with_hashes(df, F.when(F.col(open_), F.col(a)), ha, words)
+    df = with_hashes(df, F.when(F.col(open_), F.col(b)), hb, words)
+    return df.withColumn(out, F.when(F.col(open_), exact(ha, hb)).otherwise(F.col(value))).drop(value, open_, ha, hb)
+
+
+def with_likeness(df: DataFrame, out: str, a: str, sketch_a: str, b: str, sketch_b: str,
+                  words: int = WORDS, scale: int = SCALE) -> DataFrame:
+    """``out``: ``likeness`` of two sketches, or where that is null the Jaccard
+    similarity of all shingles of the texts ``a`` and ``b``."""
+    return _with_value(df, likeness, _jaccard, out, a, sketch_a, b, sketch_b, words, scale)
+
+
+def with_containment(df: DataFrame, out: str, a: str, sketch_a: str, b: str, sketch_b: str,
+                     words: int = WORDS, scale: int = SCALE) -> DataFrame:
+    """``out``: ``containment`` of two sketches, or where that is null the share
+    of all shingles of text ``a`` that text ``b`` has."""
+    return _with_value(df, containment, _part, out, a, sketch_a, b, sketch_b, words, scale)
 
 
 def as_text(a: str) -> Column:
@@ -89,13 +148,15 @@ def chained(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row the sketches of its text and of its edited text (the last half
     of the code points replaced by as many, or all, of the next text's first),
-    and their likenesses. Null counts as empty."""
+    and their likenesses (from the texts where a sketch fell back). Null counts
+    as empty."""
     d = chained(docs, id_col, text_col).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     d = d.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half),
         F.substring(F.col("next_text"), F.lit(1), half)))
-    d = d.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch", "edited")
+    d = d.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch", "edited", "text", "next_text")
     d = with_sketch(d, "edited", "edited_sketch")
-    return d.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "sketch", "edited_sketch",
-                    likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"))
+    d = with_likeness(d, "near_edited", "text", "sketch", "edited", "edited_sketch")
+    d = with_likeness(d, "near_next", "text", "sketch", "next_text", "next_sketch")
+    return d.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "sketch", "edited_sketch", "near_edited", "near_next")

@@ -429,6 +429,25 @@ def test_containment_of_a_short_text(spark):
     assert d.select(sketch.containment("sb", "sa")).first()[0] == 1.0
 
 
+def test_short_texts_inside_a_long_one(spark):
+    words = [f"w{i}" for i in range(3000)]
+    long = " ".join(words)
+    short = [" ".join(words[at:at + n]) for n in range(5, 21) for at in range(0, 2900, 290)]
+    d = spark.createDataFrame([(i, t, long) for i, t in enumerate(short)], "id long, a string, b string")
+    d = sketch.with_sketch(sketch.with_sketch(d, "a", "sa"), "b", "sb").withColumn("known", sketch.containment("sa", "sb"))
+    d = d.withColumn("joint", sketch.union("sa", "sb"))
+    got = sketch.with_likeness(sketch.with_containment(d, "part", "a", "sa", "b", "sb"), "like", "a", "sa", "b", "sb").collect()
+    fell = [r for r in got if r.sa[0] >= sketch.threshold()]
+    assert len(fell) > 20 and all(r.known is None for r in fell) and all(r.known == 1.0 for r in got if r not in fell)
+    assert all(r.part == 1.0 and r.like > 0 and r.joint == r.sb for r in got)
+    for r in fell:
+        assert abs(r.like - (len(r.a.split()) - 4) / 2996) < 1e-12
+    # in the query: the next text holds the row's own short text
+    for t in [r.a for r in fell[:3]]:
+        rows = sketch.compare_edited(spark.createDataFrame([(2, t), (1, long)], "doc_id long, text string")).collect()
+        assert all(abs(r.near_next - (len(t.split()) - 4) / 2996) < 1e-12 for r in rows)
+
+
 # --- op7
 
 def test_license_rules(spark, docs, rows):
