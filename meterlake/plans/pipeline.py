@@ -106,4 +106,10 @@ def run_workbooks(spark: SparkSession, files: DataFrame, root: str, **kw) -> dic
 
 def run_folder(spark: SparkSession, path: str, root: str, **kw) -> dict:
     """Every workbook under ``path`` (batch: all files, each run)."""
-    return run_workbooks(spark, workbook.list_workbooks(spark, path), root, **kw)
+    try:
+        files = workbook.list_workbooks(spark, path)
+    except ValueError as e:
+        if kw.get("log", True):
+            lake.append_run_log(spark, root, "failed", failed_task="list", error=f"{type(e).__name__}: {e}")
+        raise
+    return run_workbooks(spark, files, root, **kw)

@@ -225,9 +225,24 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=cols)
 
 
+def check_names(spark: SparkSession, path: str) -> None:
+    """Fail where ``path`` holds workbooks that Spark's listing leaves out
+    (names that start with ``_`` or ``.``): they would be lost unseen."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/[_.]" + XLSX_GLOB)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    names = [f.getPath().getName() for f in found if f.isFile()]
+    # the listing's own exceptions from its rule
+    lost = sorted(n for n in names if n[0] == "." or not ("=" in n or n.startswith("_metadata") or n.startswith("_common_metadata")))
+    if lost:
+        raise ValueError(f"workbooks in {path} that Spark does not list (rename them): {', '.join(lost)}")
+
+
 def list_workbooks(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """``binaryFile`` listing of the workbooks in ``path`` (one folder, where
-    names are unique): path, modificationTime, length, content."""
+    names are unique): path, modificationTime, length, content. Fails on names
+    in it that Spark would leave out."""
+    check_names(spark, path)
     return (spark.read.format("binaryFile").option("pathGlobFilter", XLSX_GLOB)
             .option("recursiveFileLookup", str(recursive).lower()).load(path))
 

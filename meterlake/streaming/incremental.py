@@ -34,6 +34,7 @@ ARRIVALS = T.StructType([T.StructField(n, T.StringType()) for n in ("hall_id", "
 
 
 def new_workbooks(spark: SparkSession, path: str, max_files_per_batch: int = 1000) -> DataFrame:
+    workbook.check_names(spark, path)
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE)
             .option("pathGlobFilter", workbook.XLSX_GLOB)
             .option("recursiveFileLookup", "false")

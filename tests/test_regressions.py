@@ -29,6 +29,17 @@ def test_unreadable_workbook_fails_and_is_logged(spark):
     assert (log.status, log.failed_task) == ("failed", "ingest") and "Export_H2_b.xlsx" in log.error
 
 
+@pytest.mark.parametrize("run", [P.run_folder, ingest_available])
+@pytest.mark.parametrize("name", ["_Export_H2.xlsx", ".Export_H2.XLSX"])
+def test_workbook_that_spark_does_not_list_fails_and_is_logged(spark, run, name):
+    d = make_folder({"Export_H1_a.xlsx": [("A", _sheet("A", T0, 3))], name: [("B", _sheet("B", T0, 2))]})
+    root = lake.scratch_root(spark)
+    with pytest.raises(ValueError, match="Export_H2"):
+        run(spark, d, root)
+    log = lake.read_run_log(spark, root).first()
+    assert log.status == "failed" and name in log.error
+
+
 def test_archive_keeps_every_file(spark):
     root = lake.scratch_root(spark)
     for name in ("Export_H1_jan.xlsx", "Export_H1_feb.xlsx"):
