@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import exact_dedup, langid, licenses, mixing, packing, pii, simhash, sketch, url_rules, warc
+from meterlake.llm import (exact_dedup, langid, licenses, line_dedup, merkle, mixing, packing, pii, simhash, sketch, spelling,
+                           url_rules, warc)
 from meterlake.llm.common import scratch, table
 
 
@@ -65,9 +66,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return d.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = merkle.audit(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_pii, op3_warc, op4_poisson_mix, op5_language, op6_sketch, op7_license_scan, op8_url_rules,
-    op9_packing, op10_exact_dedup)}
+    op9_packing, op10_exact_dedup, op11_spelling, op12_line_dedup, op13_merkle)}
 
 
 def _op3_sql() -> str:
@@ -134,5 +150,57 @@ g AS (SELECT *, count(*) OVER (PARTITION BY t) AS group_size,
         first_value(doc_id) OVER (PARTITION BY t ORDER BY chars DESC, doc_id) AS keep_id FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g"""
 
+_OP12_SQL = f"""
+WITH l AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (
+        SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(coalesce(doc_id, {-(1 << 63)})) AS keeper FROM k WHERE length(key) >= {line_dedup.MIN_CHARS}
+      GROUP BY key HAVING count(DISTINCT rid) >= {line_dedup.MIN_DOCS})
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM (SELECT k.*, c.key IS NOT NULL AND coalesce(doc_id, {-(1 << 63)}) <> c.keeper AS gone FROM k LEFT JOIN c ON k.key = c.key)
+GROUP BY rid"""
+
+
+def _op13_sql() -> str:
+    """Both trees as recursive queries: runs of three are hashed until one node
+    is left, and every row's tampered leaf is folded along them."""
+    def enc(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([enc("doc_id"), enc("source"), enc("lang"), enc("n_chars"), enc(text)]) + ")"
+
+    # CRC-32 of an id's decimal digits, bit by bit
+    bits = "list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, _: xor(y >> 1, 3988292384 * (y & 1)))"
+    crc = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), "
+           f"lambda s: ascii(s)::BIGINT)), lambda c, x: {bits}))")
+    # a tree: nodes (g, i, h), the tracked items (item, g, i, acc, proof) and their levels
+    tree = """
+{t}_n AS (SELECT g, 0 AS lv, i, h, cnt FROM {t}_0 UNION ALL
+  SELECT g, lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(cnt) + 2) // 3
+  FROM {t}_n WHERE cnt > 1 GROUP BY g, lv, i // 3),
+{t}_run AS (SELECT g, lv, i // 3 AS run, list(h ORDER BY i) AS hs FROM {t}_n WHERE cnt > 1 GROUP BY g, lv, i // 3),
+{t}_fold AS (SELECT item, g, 0 AS lv, i, acc, '' AS proof FROM {t}_items UNION ALL
+  SELECT f.item, f.g, f.lv + 1, f.i // 3,
+         sha256(array_to_string(list_concat(hs[1:f.i % 3], [f.acc], hs[f.i % 3 + 2:]), '')),
+         f.proof || array_to_string(list_concat(hs[1:f.i % 3], hs[f.i % 3 + 2:]), '')
+  FROM {t}_fold f JOIN {t}_run r ON r.g = f.g AND r.lv = f.lv AND r.run = f.i // 3),
+{t}_end AS (SELECT item, arg_max(acc, lv) AS acc, arg_max(proof, lv) AS proof FROM {t}_fold GROUP BY item),
+{t}_root AS (SELECT g, arg_max(h, lv) AS root FROM {t}_n WHERE cnt = 1 GROUP BY g)"""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, {leaf("text")} AS leaf,
+    CASE WHEN ({crc}) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS seen,
+    CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS g FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS i, count(*) OVER (PARTITION BY g) AS cnt FROM d),
+a_0 AS (SELECT g, i, leaf AS h, cnt FROM n),
+a_items AS (SELECT rid AS item, g, i, seen AS acc FROM n),{tree.format(t="a")},
+b_0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY encode(g)) - 1 AS i, root AS h, count(*) OVER () AS cnt, g AS source FROM a_root),
+b_items AS (SELECT n.rid AS item, 0 AS g, b_0.i, e.acc FROM n JOIN b_0 ON b_0.source = n.g JOIN a_end e ON e.item = n.rid),{tree.format(t="b")}
+SELECT n.doc_id, n.leaf, b_0.h AS subroot, r.root, sha256(e.proof || f.proof) AS proof_sha256, f.acc AS folded_root, f.acc = r.root AS verified
+FROM n JOIN a_end e ON e.item = n.rid JOIN b_end f ON f.item = n.rid JOIN b_0 ON b_0.source = n.g JOIN b_root r ON r.g = 0"""
+
+
 ORACLE_SQL = {"op3_warc": _op3_sql(), "op4_poisson_mix": _OP4_SQL, "op7_license_scan": _op7_sql(),
-              "op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL}
+              "op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL, "op12_line_dedup": _OP12_SQL, "op13_merkle": _op13_sql()}
