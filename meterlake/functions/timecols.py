@@ -7,6 +7,7 @@ NTZ arithmetic so results never depend on the session time zone.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +41,30 @@ def next_day_start(day: Column) -> Column:
     return F.date_add(day, 1).cast("timestamp_ntz")
 
 
+def whole_day(value) -> bool:
+    """Whether a range end is open or a bare date (midnight)."""
+    if value is None:
+        return True
+    if isinstance(value, Column):
+        return False
+    if isinstance(value, _dt.datetime):
+        return value.time() == _dt.time(0)
+    if isinstance(value, _dt.date):
+        return True
+    return re.fullmatch(r"\s*\d{4}-\d{1,2}-\d{1,2}([ T]00:00(:00(\.0+)?)?)?\s*", str(value)) is not None
+
+
+def between_days(date: Column, start=None, end=None) -> Column:
+    """Days of a DATE column from the day of ``start`` to the day of ``end``:
+    implied by a range of times, and what a stored date column is pruned by."""
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (date >= day_lit(start))
+    if end is not None:
+        cond = cond & (date <= day_lit(end))
+    return cond
+
+
 def on_day(ts: Column, day) -> Column:
     """``cast(ts as date) = day`` written as a half-open range so the bounds
     reach the Parquet scan as pushed filters."""

@@ -16,6 +16,9 @@ class Gold:
     # A stored table with at least one row per hall, used to size per-hall
     # broadcasts when dim_hall is itself derived (None: use dim_hall).
     hall_bound: DataFrame | None = None
+    # Stored sums per hall, day and meter (``meter_day`` of the same fact), from
+    # which questions about whole days are answered; None: always from the fact.
+    rollup: DataFrame | None = None
 
 
 def fact_measurement(silver: DataFrame) -> DataFrame:
@@ -36,6 +39,18 @@ def dim_meter(silver: DataFrame) -> DataFrame:
     return silver.select("hall_id", "meter_id", "meter_name", "meter_desc").distinct()
 
 
+def meter_day(fact: DataFrame) -> DataFrame:
+    """The fact summed per hall, day and meter (schema.METER_DAY). The readings
+    at midnight are summed apart as well: a range whose end is a bare date
+    keeps only them of its last day."""
+    v, at_midnight = F.col("value"), F.col("timestamp") == F.col("timestamp").cast("date").cast("timestamp_ntz")
+    pos = F.when(v > 0, v)
+    return fact.groupBy("hall_id", F.to_date("timestamp").alias("day"), "meter_id").agg(
+        F.count(F.lit(1)).alias("n_readings"), F.count(pos).alias("n_positive"),
+        F.sum(v).alias("sum_all"), F.sum(pos).alias("sum_positive"),
+        F.count(F.when(at_midnight, pos)).alias("n_midnight"), F.sum(F.when(at_midnight, pos)).alias("sum_midnight"))
+
+
 def build_gold(silver: DataFrame) -> Gold:
     return Gold(fact_measurement(silver), dim_hall(silver), dim_meter(silver))
 

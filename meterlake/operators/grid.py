@@ -5,7 +5,7 @@ Input is the long ``cells`` table (one row per non-empty cell, see
 Every step is a grouping or join over that table, so all sheets of all
 workbooks are handled by one plan instead of a loop per sheet:
 
-* ``column_profile`` ONE aggregate over the cells per (sheet, column): texts
+* ``column_profile`` ONE hash aggregate over the cells per (sheet, column): texts
                      of rows 2-4 and the 80 %-rule counts of the data cells
 * ``sheet_table``    ONE aggregate over the profile per sheet: the sheet's
                      columns as a sorted array, from which array functions
@@ -43,34 +43,36 @@ S = ["src_file", "sheet_idx"]
 
 # One pass over the cells ------------------------------------------------------
 def column_profile(cells: DataFrame, *, decimal_comma: bool = False) -> DataFrame:
-    """Everything the metadata steps need, in ONE aggregate over the cells:
-    per (sheet, column) the text of rows 2 and 3 (non-blank text cells only),
-    the row-4 header cell, and the 80 %-rule counts over the data cells.
-
-    A column holds at most one cell per row, so the filtered list of a
-    header row has at most one element. The texts are gathered with
-    ``collect_list`` rather than ``max``: a string ``max`` cannot use a hash
-    aggregate and would sort every cell. With ``collect_list`` a task hashes
-    until it holds 128 keys and sorts from there on; either way a column of a
-    huge sheet shrinks to one row per task before the shuffle. The sheet
-    title is constant per sheet and rides along as a grouping key.
+    """Everything the metadata steps need, in ONE pass over the cells: per
+    (sheet, column) the text of rows 2 and 3 (non-blank text cells only), the
+    row-4 header cell, and the 80 %-rule counts over the data cells.
+
+    The cells are counted by (sheet, column, header row, header text); the last
+    two are null for data cells. Counts have a fixed width and texts are
+    grouping keys, so the aggregate hashes however many keys a task holds (a
+    ``max`` or list of texts would sort the cells). It leaves at most four rows
+    a column, which a second, small aggregate folds into one. A column holds
+    at most one cell per row; the sheet title is constant per sheet and rides
+    along as a grouping key.
     """
     v = F.col("value")
     row = F.col("row_no")
     text = (F.col("kind") == "s") & (strip(v) != "")
     data = row > HEADER_ROW
     dv = F.when(data, missing_to_null(v))
-    agg = cells.groupBy(*S, "sheet_name", "col_no").agg(
-        F.collect_list(F.when((row == NAME_ROW) & text, v)).alias("_r2"),
-        F.collect_list(F.when((row == LABEL_ROW) & text, v)).alias("_r3"),
-        F.collect_list(F.when(row == HEADER_ROW, v)).alias("_r4"),
-        F.count(dv).alias("n_present"),
-        F.count(F.when(is_number_text(dv, decimal_comma), 1)).alias("n_numeric"),
-        F.max(data).alias("has_data"),
-    )
-    return agg.select(*S, "col_no", "sheet_name",
-                      F.get("_r2", 0).alias("r2"), F.get("_r3", 0).alias("r3"),
-                      F.get("_r4", 0).alias("r4"), "n_present", "n_numeric", "has_data")
+    head = F.when((row.isin(NAME_ROW, LABEL_ROW) & text) | (row == HEADER_ROW), row)
+    keyed = cells.select(*S, "sheet_name", "col_no", head.alias("_row"), F.when(head.isNotNull(), v).alias("_text"),
+                         dv.alias("_dv"), data.alias("_data"))
+    counted = keyed.groupBy(*S, "sheet_name", "col_no", "_row", "_text").agg(
+        F.count("_dv").alias("n_present"),
+        F.count(F.when(is_number_text(F.col("_dv"), decimal_comma), 1)).alias("n_numeric"),
+        F.count(F.when(F.col("_data"), 1)).alias("_n_data"))
+    of_row = lambda k: F.max(F.when(F.col("_row") == k, F.col("_text")))
+    return counted.groupBy(*S, "sheet_name", "col_no").agg(
+        of_row(NAME_ROW).alias("r2"), of_row(LABEL_ROW).alias("r3"), of_row(HEADER_ROW).alias("r4"),
+        F.sum("n_present").alias("n_present"), F.sum("n_numeric").alias("n_numeric"),
+        (F.sum("_n_data") > 0).alias("has_data")).select(
+        *S, "col_no", "sheet_name", "r2", "r3", "r4", "n_present", "n_numeric", "has_data")
 
 
 def _is_numeric(n_present: Column, n_numeric: Column) -> Column:

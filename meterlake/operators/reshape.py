@@ -16,14 +16,20 @@ def top_n_other(daily: DataFrame, top_n: int = DEFAULT_TOP_N, key: str = "meter_
     Grouping is by *name* (meters sharing a name merge), ties by name.
     """
     keys = list(keys)
-    totals = daily.groupBy(*keys, key).agg(F.sum("daily_total").alias("_t"))
+    # One row per (keys, name, day), then the name's total on each of them. The
+    # window's key is (keys, name): no task holds more than a name's days.
+    named = daily.groupBy(*keys, key, "day").agg(F.sum("daily_total").alias("_d"))
+    total = F.sum("_d").over(Window.partitionBy(*keys, key))
+    first = F.row_number().over(Window.partitionBy(*keys, key).orderBy("day")) == 1
+    named = named.withColumn("_t", total).withColumn("_first", first)
+    # The names of a key are ranked by one row each, and every day row gets its
+    # name's rank: rows sort by total, name and day, so ranks are counted
+    # along the first rows.
     w = Window.partitionBy(*keys).orderBy(F.desc("_t"), F.asc(key))
-    top = (totals.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(top_n))
-           .select(*keys, key, F.lit(True).alias("_hit")))
-    j = daily.join(top, [*keys, key], "left")
-    grp = F.when(F.col("_hit"), F.col(key)).otherwise(F.lit("Other"))
-    return (j.groupBy(*keys, "day", grp.alias("meter_group"))
-            .agg(F.sum("daily_total").alias("daily_total")))
+    ranked = named.withColumn("_rank", F.dense_rank().over(w))
+    grp = F.when(F.col("_rank") <= int(top_n), F.col(key)).otherwise(F.lit("Other"))
+    return (ranked.groupBy(*keys, "day", grp.alias("meter_group"))
+            .agg(F.sum("_d").alias("daily_total")))
 
 
 def daily_pivot(long: DataFrame, values: list, column: str = "meter_group",
@@ -55,13 +61,13 @@ def daily_peak(daily: DataFrame, top_day: DataFrame | None = None,
     a row, else the highest total. Computed on the long form (no pivot)."""
     keys = list(keys)
     t = daily.groupBy(*keys, "day").agg(F.sum("daily_total").alias("_dt"))
+    if top_day is None:
+        t = t.withColumn("_marked", F.lit(False))
+    else:
+        # the marked day rides along as a flag, so the day totals are used once
+        t = t.join(top_day.select(*keys, "day").distinct().withColumn("_marked", F.lit(True)), [*keys, "day"], "left")
     peak = t.groupBy(*keys).agg(
         F.max_by("day", F.struct(F.col("_dt"), -F.unix_date("day"))).alias("peak_day"),
-        F.max("_dt").alias("peak_total"))
-    if top_day is None:
-        return peak.withColumn("marked_total", F.col("peak_total"))
-    on_top = (t.join(top_day.select(*keys, "day"), [*keys, "day"])
-              .select(*keys, F.col("_dt").alias("_on_top")))
-    return (peak.join(on_top, keys, "left")
-            .withColumn("marked_total", F.coalesce("_on_top", "peak_total"))
-            .drop("_on_top"))
+        F.max("_dt").alias("peak_total"),
+        F.max(F.when(F.col("_marked"), F.col("_dt"))).alias("_on_top"))
+    return peak.withColumn("marked_total", F.coalesce("_on_top", "peak_total")).drop("_on_top")

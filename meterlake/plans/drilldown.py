@@ -17,7 +17,8 @@ at once:
    peak interval, carrying the winner columns along.
 
 The fact is scanned twice: once for the aggregate, which is used once, and
-once, filtered, for step 3. Over derived gold a derived dimension may read the
+once, filtered, for step 3. Over written gold the aggregate is read from the
+stored rollup where the range is one of whole days, and only step 3 reads the fact. Over derived gold a derived dimension may read the
 fact's source again.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.timecols import covering_days, in_range, next_day_start, day_start
 from ..operators.gold import Gold
 from ..operators.sizing import checked_broadcast
-from .queries import _fact, _with_names, peak_interval, reading_day
+from .queries import _fact, _with_names, peak_interval, reading_day, rollup_days
 
 
 def per_hall_broadcast(df: DataFrame, halls: DataFrame) -> DataFrame:
@@ -58,12 +59,20 @@ def winners(gold: Gold, hall=None, start=None, end=None, *,
     The (hall, day, meter) aggregate is the only pass over the fact and is
     read once: the day's total rides along as a window sum, so the best day's
     meters are kept without joining a day table back."""
-    ts = F.col("timestamp")
-    f = _fact(gold, hall).where(covering_days(ts, start, end))
-    agg = (f.groupBy("hall_id", reading_day().alias("top_day"), "meter_id")
-           .agg(F.sum(F.when(in_range(ts, start, end, end_inclusive_day), F.col("value")))
-                .alias("_range_s"),
-                F.sum("value").alias("_s")))
+    days = rollup_days(gold, hall, start, end, end_inclusive_day=end_inclusive_day)
+    if days is not None:
+        in_day = F.when(F.col("_cut"), F.when(F.col("n_midnight") > 0, F.col("sum_midnight"))).otherwise(
+            F.col("sum_positive"))
+        agg = days.where("n_positive > 0").select(
+            "hall_id", F.col("day").alias("top_day"), "meter_id", in_day.alias("_range_s"),
+            F.col("sum_positive").alias("_s"))
+    else:
+        ts = F.col("timestamp")
+        f = _fact(gold, hall, start=start, end=end).where(covering_days(ts, start, end))
+        agg = (f.groupBy("hall_id", reading_day().alias("top_day"), "meter_id")
+               .agg(F.sum(F.when(in_range(ts, start, end, end_inclusive_day), F.col("value")))
+                    .alias("_range_s"),
+                    F.sum("value").alias("_s")))
 
     # every meter of a day carries the same total, so rank 1 is one whole day
     day_total = F.sum("_range_s").over(Window.partitionBy("hall_id", "top_day"))

@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import hall_id_of
 from ..operators.gold import build_gold
 from ..operators.grid import bronze_from, column_profile
 from ..operators.silver import to_silver
 from ..schema import CELLS
+from ..session import observed
 from ..sources import lake, workbook
 
 
@@ -43,27 +45,52 @@ def ingest(cells: DataFrame, root: str, *, decimal_comma: bool = False) -> dict:
     return m
 
 
-def clean(spark: SparkSession, root: str, *, fill_missing: float | None = None) -> dict:
-    """bronze (all partitions, earlier runs included) -> silver per hall.
-    ``silver_dropped`` counts rows without a valid reading time."""
+def clean(spark: SparkSession, root: str, *, fill_missing: float | None = None,
+          halls: list | None = None) -> dict:
+    """bronze (all partitions, earlier runs included) -> silver per hall; with
+    ``halls`` only these are read and replaced. ``silver_dropped`` counts rows
+    without a valid reading time."""
     obs = Observation("bronze_in")
-    b = lake.read_bronze(spark, root).observe(obs, F.count(F.lit(1)).alias("rows"))
-    m = lake.write_silver(to_silver(b, fill_missing=fill_missing), root)
-    m["bronze_read"] = int(obs.get.get("rows") or 0)
+    b = lake.read_bronze(spark, root, halls).observe(obs, F.count(F.lit(1)).alias("rows"))
+    m = lake.write_silver(to_silver(b, fill_missing=fill_missing), root, halls)
+    m["bronze_read"] = int(observed(obs).get("rows") or 0)
     m["silver_dropped"] = m["bronze_read"] - m["silver_rows"]
     return m
 
 
-def derive(spark: SparkSession, root: str) -> dict:
-    """silver -> gold star schema (fact per hall, two dims)."""
-    return lake.write_gold(build_gold(lake.read_silver(spark, root)), root)
+def derive(spark: SparkSession, root: str, *, halls: list | None = None) -> dict:
+    """silver -> gold star schema (fact, two dims, daily rollup), published as
+    one version; with ``halls`` only these are read and replaced."""
+    return lake.write_gold(build_gold(lake.read_silver(spark, root, halls)), root, halls)
+
+
+def halls_of(files: DataFrame, column: str = "src_file") -> list[str]:
+    """The halls that files belong to (bounded by the number of halls)."""
+    rows = files.select(hall_id_of(F.col(column)).alias("hall_id")).distinct().collect()
+    return sorted(r["hall_id"] for r in rows)
+
+
+def refresh(spark: SparkSession, cells: DataFrame, root: str, *, halls: list | None = None,
+            decimal_comma: bool = False, fill_missing: float | None = None) -> dict:
+    """Cells of newly arrived workbooks into the lake: their bronze partitions,
+    then silver and gold of the halls they belong to (``halls``, found in the
+    cells when not given). Other halls are neither read nor written."""
+    m = ingest(cells, root, decimal_comma=decimal_comma)
+    if halls is None:
+        halls = halls_of(spark.read.schema(CELLS).parquet(lake.layer_path(root, "cells")))
+    if not lake.layer_exists(spark, root, "bronze"):
+        return m
+    m.update(clean(spark, root, fill_missing=fill_missing, halls=halls))
+    m.update(derive(spark, root, halls=halls))
+    return m
 
 
 def run(spark: SparkSession, cells: DataFrame, root: str, *, decimal_comma: bool = False,
-        fill_missing: float | None = None, log: bool = True) -> dict:
-    """Whole batch run. Returns the metrics; status ``skipped`` when a layer
-    has no rows (nothing downstream is written then)."""
-    metrics: dict = {}
+        fill_missing: float | None = None, log: bool = True, counted: dict | None = None) -> dict:
+    """Whole batch run. Returns the metrics (``counted`` are those of steps
+    before it); status ``skipped`` when a layer has no rows (nothing downstream
+    is written then)."""
+    metrics: dict = dict(counted or {})
     task = "ingest"
     status = "success"
     try:
@@ -99,9 +126,7 @@ def run_workbooks(spark: SparkSession, files: DataFrame, root: str, **kw) -> dic
     m = workbook.archive(files, root)
     with workbook.few_files_per_batch(spark):
         # the cells are written inside ``run`` (stage_cells) under this setting
-        out = run(spark, workbook.cells_of(files), root, **kw)
-    out.update(m)
-    return out
+        return run(spark, workbook.cells_of(files), root, counted=m, **kw)
 
 
 def run_folder(spark: SparkSession, path: str, root: str, **kw) -> dict:

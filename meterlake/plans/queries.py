@@ -15,6 +15,8 @@ Scale notes
   the readings costs a third of the scan but not a third of the shuffle.
 * The meter dim is broadcast behind a size check of its own statistics
   (``operators.sizing``); beyond the limit the join is left to AQE.
+* Gold that was written carries a stored rollup per (hall, day, meter); sums
+  over whole days are read from it instead of the fact (``meter_sums``).
 * Top-k per group uses ``row_number`` windows over aggregated rows, which
   Spark runs with a partial group limit before the shuffle.
 """
@@ -24,11 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import (add_micros, in_range, micros_between,
-                                  micros_since_epoch, on_day)
+from ..functions.timecols import (add_micros, between_days, day_lit, in_range, micros_between,
+                                  micros_since_epoch, on_day, whole_day)
 from ..operators.gold import Gold
 from ..operators.sizing import checked_broadcast
-from ..schema import DEFAULT_INTERVAL_MINUTES, DEFAULT_TOP_N
+from ..schema import DEFAULT_INTERVAL_MINUTES, DEFAULT_TOP_N, READING_DATE
 
 
 def reading_day() -> Column:
@@ -36,8 +38,14 @@ def reading_day() -> Column:
     return F.to_date("timestamp")
 
 
-def _fact(gold: Gold, hall=None, positive_only: bool = True, meter_id=None) -> DataFrame:
+def _fact(gold: Gold, hall=None, positive_only: bool = True, meter_id=None,
+          start=None, end=None) -> DataFrame:
+    """The fact's rows of a hall and meter; the days of ``start`` and ``end``
+    bound the scan where the fact is stored with its dates (the caller still
+    filters the times)."""
     f = gold.fact
+    if READING_DATE in f.columns and (start is not None or end is not None):
+        f = f.where(between_days(F.col(READING_DATE), start, end))
     if hall is not None:
         f = f.where(F.col("hall_id") == F.lit(hall))
     if meter_id is not None:
@@ -61,6 +69,47 @@ def _with_names(meter_sums: DataFrame, dim_meter: DataFrame, keys: list[str],
                     F.coalesce("_dim_name", "meter_id").alias("meter_name"), total)
 
 
+def rollup_days(gold: Gold, hall=None, start=None, end=None, *,
+                end_inclusive_day: bool = False) -> DataFrame | None:
+    """Rows of the stored rollup for the days from ``start`` to ``end``, with
+    ``_cut``: of this last day only midnight lies in the range. None where the
+    rollup cannot answer (there is none, or an end lies inside a day)."""
+    if gold.rollup is None or not (whole_day(start) and whole_day(end)):
+        return None
+    r = gold.rollup
+    if hall is not None:
+        r = r.where(F.col("hall_id") == F.lit(hall))
+    if start is not None:
+        r = r.where(F.col("day") >= day_lit(start))
+    cut = F.lit(False)
+    if end is not None:
+        r = r.where(F.col("day") <= day_lit(end))
+        if not end_inclusive_day:
+            cut = F.col("day") == day_lit(end)
+    return r.withColumn("_cut", cut)
+
+
+def meter_sums(gold: Gold, hall=None, start=None, end=None, *, positive_only: bool = True,
+               end_inclusive_day: bool = False, day=None) -> DataFrame:
+    """(hall_id, day, meter_id, _s): sums of the readings in the range or on
+    ``day``, from the stored rollup where it can tell, else from the fact."""
+    if day is not None:
+        start, end, end_inclusive_day = day, day, True
+    cut_needed = end is not None and not end_inclusive_day
+    r = rollup_days(gold, hall, start, end, end_inclusive_day=end_inclusive_day)
+    if r is not None and not (cut_needed and not positive_only):
+        if not positive_only:
+            return r.select("hall_id", "day", "meter_id", F.col("sum_all").alias("_s"))
+        n = F.when(F.col("_cut"), F.col("n_midnight")).otherwise(F.col("n_positive"))
+        s = F.when(F.col("_cut"), F.col("sum_midnight")).otherwise(F.col("sum_positive"))
+        return r.where(n > 0).select("hall_id", "day", "meter_id", s.alias("_s"))
+    ts = F.col("timestamp")
+    f = _fact(gold, hall, positive_only, start=start, end=end).where(
+        on_day(ts, day) if day is not None else in_range(ts, start, end, end_inclusive_day))
+    return (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
+            .agg(F.sum("value").alias("_s")))
+
+
 # QY-1 -----------------------------------------------------------------------
 def hall_list(gold: Gold) -> DataFrame:
     return (gold.dim_hall.select("hall_id").where(F.col("hall_id").isNotNull())
@@ -73,10 +122,8 @@ def daily_totals(gold: Gold, hall=None, start=None, end=None, *,
                  dim_meter: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Total per (day, meter) in the range, named from the meter dim. Pass
     ``ordered=False`` where another step reads it (Spark keeps such a sort)."""
-    f = _fact(gold, hall, positive_only).where(
-        in_range(F.col("timestamp"), start, end, end_inclusive_day))
-    sums = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
-            .agg(F.sum("value").alias("_s")))
+    sums = meter_sums(gold, hall, start, end, positive_only=positive_only,
+                      end_inclusive_day=end_inclusive_day)
     out = _with_names(sums, gold.dim_meter if dim_meter is None else dim_meter,
                       ["hall_id", "day"], "daily_total")
     return out.orderBy(F.asc_nulls_last("hall_id"), F.asc_nulls_last("day"), "meter_id") if ordered else out
@@ -85,7 +132,10 @@ def daily_totals(gold: Gold, hall=None, start=None, end=None, *,
 # QY-3 -----------------------------------------------------------------------
 def day_totals(gold: Gold, hall=None, start=None, end=None, *,
                end_inclusive_day: bool = False) -> DataFrame:
-    f = _fact(gold, hall).where(in_range(F.col("timestamp"), start, end, end_inclusive_day))
+    if rollup_days(gold, hall, start, end) is not None:
+        sums = meter_sums(gold, hall, start, end, end_inclusive_day=end_inclusive_day)
+        return sums.groupBy("hall_id", "day").agg(F.sum("_s").alias("daily_total"))
+    f = _fact(gold, hall, start=start, end=end).where(in_range(F.col("timestamp"), start, end, end_inclusive_day))
     return f.groupBy("hall_id", reading_day().alias("day")).agg(F.sum("value").alias("daily_total"))
 
 
@@ -107,11 +157,7 @@ def meter_breakdown(gold: Gold, hall=None, day=None, top_n: int = DEFAULT_TOP_N,
     ``rank`` is 1-based; ``is_top`` marks rank 1 (the highlighted bar). Ties
     are broken by meter id, then name.
     """
-    f = _fact(gold, hall, positive_only)
-    if day is not None:
-        f = f.where(on_day(F.col("timestamp"), day))
-    sums = (f.groupBy("hall_id", reading_day().alias("day"), "meter_id")
-            .agg(F.sum("value").alias("_s")))
+    sums = meter_sums(gold, hall, positive_only=positive_only, day=day)
     t = _with_names(sums, gold.dim_meter if dim_meter is None else dim_meter,
                     ["hall_id", "day"], "total_consumption")
     w = Window.partitionBy("hall_id", "day").orderBy(
@@ -126,7 +172,7 @@ def meter_timeseries(gold: Gold, hall=None, meter_id=None, day=None, *,
                      positive_only: bool = True, ordered: bool = True) -> DataFrame:
     """Readings of a meter on a day in time order (every series when the
     parameters are None; then ordered by hall, meter, time)."""
-    f = _fact(gold, hall, positive_only, meter_id)
+    f = _fact(gold, hall, positive_only, meter_id, day, day)
     if day is not None:
         f = f.where(on_day(F.col("timestamp"), day))
     out = f.select("hall_id", "meter_id", reading_day().alias("day"), "timestamp",

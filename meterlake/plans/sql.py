@@ -9,14 +9,18 @@ Parameters: ``hall`` (NULL = every hall), ``start`` / ``end`` as
 ``'yyyy-MM-dd[ HH:mm:ss]'`` text (a bare date is midnight; ``BETWEEN`` keeps
 only the 00:00 reading of the end day, as the dashboard does), ``day``,
 ``top_n``. Catalyst folds the parameter tests, so a given hall reaches the
-scan as a partition filter and the range as Parquet row-group filters.
+scan as a partition filter; a fact stored with its reading dates is bound with
+the days that the parameters name, by which its scan skips row groups.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.timecols import between_days
 from ..operators.gold import Gold
+from ..schema import READING_DATE
 
 HALLS = """
 SELECT DISTINCT hall_id FROM {dim_hall} WHERE hall_id IS NOT NULL ORDER BY hall_id
@@ -95,5 +99,9 @@ def run(spark: SparkSession, gold: Gold, name: str, **params) -> DataFrame:
     args = {p: params.get(p, DEFAULTS[p]) for p in names}
     if "top_n" in args:
         args["top_n"] = int(args["top_n"])
-    return spark.sql(text, args=args or None, fact=gold.fact, dim_hall=gold.dim_hall,
+    fact = gold.fact
+    if READING_DATE in fact.columns:
+        one = params.get("day")
+        fact = fact.where(between_days(F.col(READING_DATE), one or params.get("start"), one or params.get("end")))
+    return spark.sql(text, args=args or None, fact=fact, dim_hall=gold.dim_hall,
                      dim_meter=gold.dim_meter)

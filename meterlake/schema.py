@@ -100,6 +100,25 @@ FACT = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
+# The fact as it is stored: with the reading's date, because a Parquet scan
+# skips row groups and pages by predicates on dates, but not on TIMESTAMP_NTZ.
+READING_DATE = "reading_date"
+FACT_STORED = T.StructType([*FACT.fields, T.StructField(READING_DATE, T.DateType(), True)])
+
+# Sums of the fact per hall, day and meter; *_positive and *_midnight cover the
+# readings with value > 0, the latter those at 00:00.
+METER_DAY = T.StructType([
+    T.StructField("hall_id", T.StringType(), True),
+    T.StructField("day", T.DateType(), True),
+    T.StructField("meter_id", T.StringType(), True),
+    T.StructField("n_readings", T.LongType(), True),
+    T.StructField("n_positive", T.LongType(), True),
+    T.StructField("sum_all", T.DoubleType(), True),
+    T.StructField("sum_positive", T.DoubleType(), True),
+    T.StructField("n_midnight", T.LongType(), True),
+    T.StructField("sum_midnight", T.DoubleType(), True),
+])
+
 DIM_HALL = T.StructType([
     T.StructField("hall_id", T.StringType(), True),
     T.StructField("hall_label", T.StringType(), True),

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Settings our jobs rely on. Queries do not depend on the session time zone
 # (all timestamps are TIMESTAMP_NTZ), but UTC keeps printed values stable.
@@ -86,3 +87,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root
+
+
+def observed(obs: Observation) -> dict:
+    """The values of an observation whose action has ended. Where Spark found
+    at run time that there are no rows, it drops the observed plan and with it
+    the observation, which then cannot be read: that gives no values."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}

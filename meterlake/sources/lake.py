@@ -5,8 +5,12 @@ Layout under one root:
 * ``bronze/hall_id=<h>/sheet_key=<k>/``  one partition per (hall, sheet key);
   a rerun replaces exactly the partitions it writes (dynamic overwrite),
   partitions of earlier runs stay
-* ``silver/hall_id=<h>/``                fixed nine-column schema
-* ``gold/fact_measurement/hall_id=<h>/``, ``gold/dim_hall``, ``gold/dim_meter``
+* ``silver/v=<version>/hall_id=<h>/``     fixed nine-column schema
+* ``gold/<table>/v=<version>/hall_id=<h>/`` for the tables fact_measurement,
+  dim_hall, dim_meter and meter_day (the daily rollup)
+* ``versions/``                          which version folder of silver and
+  gold holds each hall (``sources.versions``): a write is seen only once it is
+  published, the four gold tables together
 * ``files/hall_id=<h>/file=<name>/``     archived workbooks (bytes + digest)
 * ``run_log/``                           one appended row per run
 
@@ -28,12 +32,14 @@ import datetime as _dt
 import re
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.gold import Gold
-from ..schema import BRONZE, DIM_HALL, DIM_METER, FACT, RUN_LOG, SILVER
-from ..session import checkpoint_root
+from ..operators.gold import Gold, meter_day
+from ..schema import (BRONZE, DIM_HALL, DIM_METER, FACT, FACT_STORED, METER_DAY, READING_DATE, RUN_LOG,
+                      SILVER)
+from ..session import checkpoint_root, observed
+from . import versions
 
 
 def layer_path(root: str, *parts: str) -> str:
@@ -53,25 +59,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
-           mode: str = "overwrite", extra: dict | None = None, whole: bool = False,
-           rebalance: bool = True) -> dict:
-    """Write with observed row count; returns ``{name_rows: n}``. ``whole``
-    replaces the table, also the partitions that no row goes to."""
+           mode: str = "overwrite", extra: dict | None = None,
+           rebalance: bool = True, cluster: list | None = None,
+           options: dict | None = None) -> dict:
+    """Write with observed row count; returns ``{name_rows: n}``, and what
+    ``extra`` observes, by name. ``cluster`` deals the rows to files by ranges
+    of these columns and sorts them inside (the first are the partition
+    columns); otherwise the rows are rebalanced."""
     obs = Observation(name)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for k, c in (extra or {}).items():
         aggs.append(c.alias(k))
-    out = df.observe(obs, *aggs)
-    # rebalance: AQE sizes the written files (splits a hot partition value,
-    # merges small ones); without partition columns it only evens file sizes
-    if rebalance:
-        out = out.hint("rebalance", *partition_by)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
+    if cluster:
+        # observed behind the exchange: its sampling runs what lies before it twice
+        out = df.repartitionByRange(*cluster).observe(obs, *aggs).sortWithinPartitions(*cluster)
+    else:
+        out = df.observe(obs, *aggs)
+        # rebalance: AQE sizes the written files (splits a hot partition value,
+        # merges small ones); without partition columns it only evens file sizes
+        if rebalance:
+            out = out.hint("rebalance", *partition_by)
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    got = obs.get
-    return {f"{name}_{k}": int(v or 0) for k, v in got.items()}
+    got = {"rows": 0, **observed(obs)}
+    return {f"{name}_{k}": v if isinstance(v, list) else int(v or 0) for k, v in got.items()}
 
 
 # ------------------------------------------------------------------- bronze
@@ -84,19 +97,42 @@ def write_bronze(bronze: DataFrame, root: str) -> dict:
     return write_table(df, layer_path(root, "bronze"), ["hall_id", "sheet_key"], "bronze")
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(layer_path(root, "bronze"))
+def read_bronze(spark: SparkSession, root: str, halls: list | None = None) -> DataFrame:
+    """Bronze of all halls, or of ``halls`` only (the other partitions are
+    pruned by value)."""
+    b = spark.read.schema(BRONZE).parquet(layer_path(root, "bronze"))
+    return b if halls is None else b.where(F.col("hall_id").isin(list(halls)))
 
 
-# ------------------------------------------------------------------- silver
-def write_silver(silver: DataFrame, root: str) -> dict:
-    """Silver of all halls: a hall that has no rows left loses its old ones."""
-    return write_table(silver, layer_path(root, "silver"), ["hall_id"], "silver", whole=True)
+# ------------------------------------------------- published layers, by hall
+# Layer -> schema of what readers see.
+PUBLISHED_LAYERS = {"silver": SILVER, "gold/fact_measurement": FACT_STORED, "gold/dim_hall": DIM_HALL,
+                    "gold/dim_meter": DIM_METER, "gold/meter_day": METER_DAY}
 
+# Row groups of the fact: small enough that a day of a hall is a few of them.
+FACT_OPTIONS = {"parquet.block.size": str(16 * 1024 * 1024), "parquet.bloom.filter.enabled#meter_id": "true"}
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(SILVER).parquet(layer_path(root, "silver")).select(
-        *[f.name for f in SILVER.fields])
+
+def _write_version(df: DataFrame, root: str, layer: str, folder: str, name: str, **kw) -> tuple[dict, list]:
+    """Write one layer to its version folder: metrics and the halls written
+    (bounded by the number of halls; null and empty ones are one folder)."""
+    halls = F.collect_set(F.coalesce(F.col("hall_id"), F.lit("")))
+    m = write_table(df, layer_path(root, layer, folder), ["hall_id"], name, extra={"halls": halls}, **kw)
+    return m, m.pop(f"{name}_halls", None) or []
+
+
+def write_silver(silver: DataFrame, root: str, halls: list | None = None) -> dict:
+    """Publish silver of all halls, or of ``halls`` only: a hall that has no
+    rows left loses its old ones, all others keep their files."""
+    spark = silver.sparkSession
+    folder = versions.new_folder(spark, root)
+    m, written = _write_version(silver, root, "silver", folder, "silver")
+    versions.publish(spark, root, {"silver": (folder, written)}, halls)
+    return m
+
+
+def read_silver(spark: SparkSession, root: str, halls: list | None = None) -> DataFrame:
+    return versions.read(spark, root, "silver", SILVER, halls)
 
 
 def read_hall_folders(spark: SparkSession, path: str, schema=SILVER) -> DataFrame:
@@ -113,20 +149,44 @@ def read_hall_folders(spark: SparkSession, path: str, schema=SILVER) -> DataFram
 
 
 # --------------------------------------------------------------------- gold
-def write_gold(gold: Gold, root: str) -> dict:
-    m = {}
-    m.update(write_table(gold.fact, layer_path(root, "gold", "fact_measurement"), ["hall_id"], "fact",
-                         whole=True))
-    m.update(write_table(gold.dim_hall, layer_path(root, "gold", "dim_hall"), [], "dim_hall"))
-    m.update(write_table(gold.dim_meter, layer_path(root, "gold", "dim_meter"), [], "dim_meter"))
+def write_gold(gold: Gold, root: str, halls: list | None = None) -> dict:
+    """Write the star schema and publish it as one version; with ``halls`` the
+    frames hold these halls, and only they are replaced.
+
+    The fact is clustered: ranges of (hall, day, meter, time), sorted inside
+    the files, so that the day of a hall lies in few files and row groups and
+    a meter's readings of a day lie side by side. It is stored with the date of
+    the reading, by which scans skip (``schema.FACT_STORED``). The daily rollup
+    is summed from the fact just written."""
+    spark = gold.fact.sparkSession
+    folder = versions.new_folder(spark, root)
+    m, changes = {}, {}
+
+    def write(table: str, df: DataFrame, name: str, **kw) -> None:
+        got, written = _write_version(df, root, f"gold/{table}", folder, name, **kw)
+        m.update(got)
+        changes[f"gold/{table}"] = (folder, written)
+
+    fact = gold.fact.select(*FACT.names, F.to_date("timestamp").alias(READING_DATE))
+    write("fact_measurement", fact, "fact", options=FACT_OPTIONS,
+          cluster=[F.col(c) for c in ("hall_id", READING_DATE, "meter_id", "timestamp")])
+    write("dim_hall", gold.dim_hall, "dim_hall")
+    write("dim_meter", gold.dim_meter, "dim_meter")
+    written = changes["gold/fact_measurement"][1]
+    fact = spark.createDataFrame([], FACT) if not written else versions.read_folders(
+        spark, layer_path(root, "gold/fact_measurement"), [folder], FACT)
+    write("meter_day", meter_day(fact), "meter_day", cluster=[F.col("hall_id"), F.col("day"), F.col("meter_id")])
+    versions.publish(spark, root, changes, halls)
     return m
 
 
 def read_gold(spark: SparkSession, root: str) -> Gold:
-    def rd(name, schema):
-        df = spark.read.schema(schema).parquet(layer_path(root, "gold", name))
-        return df.select(*[f.name for f in schema.fields])
-    return Gold(rd("fact_measurement", FACT), rd("dim_hall", DIM_HALL), rd("dim_meter", DIM_METER))
+    """The last published gold, all of its tables of one publication."""
+    state = versions.published(spark, root)
+    fact, dim_hall, dim_meter, rollup = (
+        versions.read(spark, root, f"gold/{t}", PUBLISHED_LAYERS[f"gold/{t}"], state=state)
+        for t in ("fact_measurement", "dim_hall", "dim_meter", "meter_day"))
+    return Gold(fact, dim_hall, dim_meter, rollup=rollup)
 
 
 def read_gold_files(spark: SparkSession, fact_path: str, dim_hall_path: str,
@@ -164,6 +224,14 @@ def run_metrics(spark: SparkSession, root: str) -> DataFrame:
     return log.select("run_at", "status", F.explode("metrics").alias("metric", "value"))
 
 
+def run_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """The run log with every run's number, in order of time: (run_no, run_at,
+    status, failed_task, error, metrics). One row a run, so the window is small."""
+    log = read_run_log(spark, root)
+    n = F.row_number().over(Window.orderBy("run_at")).cast("long")
+    return log.select(n.alias("run_no"), "run_at", "status", "failed_task", "error", "metrics")
+
+
 def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
     return _exists(spark, layer_path(root, *parts))
 
@@ -171,5 +239,5 @@ def layer_exists(spark: SparkSession, root: str, *parts: str) -> bool:
 __all__ = [
     "layer_path", "scratch_root", "write_table", "write_bronze", "read_bronze", "write_silver",
     "read_silver", "read_hall_folders", "write_gold", "read_gold_files", "read_gold", "append_run_log",
-    "read_run_log", "run_metrics", "layer_exists",
+    "read_run_log", "run_metrics", "run_outcomes", "layer_exists",
 ]

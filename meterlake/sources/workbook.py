@@ -285,7 +285,13 @@ ARCHIVE = ("src_file string, modificationTime timestamp, length long, sha256 str
 def archive(files: DataFrame, root: str) -> dict:
     """Keep each original workbook under ``files/hall_id=<h>/file=<name>/`` with
     its time, length and SHA-256 digest. A later file of the same hall and name
-    replaces it; all others stay."""
+    replaces it; all others stay. Returns the number of files and bytes."""
+    return archive_named(files, root)[0]
+
+
+def archive_named(files: DataFrame, root: str) -> tuple[dict, list[tuple[str, str]]]:
+    """``archive`` in one pass over the files, with the (hall, file) names
+    written: for a bounded number of files, as in a micro-batch."""
     from ..functions.text import hall_id_of
     from .lake import layer_path, write_table
     df = files.select(
@@ -293,6 +299,18 @@ def archive(files: DataFrame, root: str) -> dict:
         file_name(F.col("path")).alias("src_file"),
         "modificationTime", "length",
         F.sha2(F.col("content"), 256).alias("sha256"),
-        "content")
-    return write_table(df.withColumn("file", F.col("src_file")), layer_path(root, "files"), ["hall_id", "file"],
-                       "files", rebalance=False)
+        "content").withColumn("file", F.col("src_file"))
+    m = write_table(df, layer_path(root, "files"), ["hall_id", "file"], "files", rebalance=False,
+                    extra={"bytes": F.sum("length"), "names": F.collect_set(F.struct("hall_id", "file"))})
+    names = sorted((r["hall_id"], r["file"]) for r in m.pop("files_names", []))
+    return m, names
+
+
+def archived(spark: SparkSession, root: str, names: list[tuple[str, str]]) -> DataFrame:
+    """The archived workbooks of the given (hall, file) names: only their
+    folders are listed and read. Columns of ``ARCHIVE`` and ``path``."""
+    from .lake import layer_path
+    from .versions import partition_folder
+    base = layer_path(root, "files")
+    paths = [f"{base}/{partition_folder('hall_id', h)}/{partition_folder('file', f)}" for h, f in names]
+    return spark.read.schema(ARCHIVE).option("basePath", base).parquet(*paths).withColumn("path", F.col("src_file"))

@@ -6,6 +6,8 @@ based, per-group top-k runs a partial limit before its shuffle, no join is
 a cartesian product, and silver parses each time text once.
 """
 
+import dataclasses
+
 import pytest
 
 import __spark_entry__ as E
@@ -37,10 +39,36 @@ def test_no_cartesian_or_nested_loop_joins(spark, q):
         assert "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_cells_aggregates_are_hash_based(spark, q):
-    p = plan_of(q["grid_records"](spark, SF))
-    assert "SortAggregate" not in p
-    assert "ObjectHashAggregate" in p
+def test_column_profile_never_sorts_the_cells(spark):
+    """Read from the executed plan: the rows that reached a sort or a
+    sort-based aggregate are the profile's, not the cells'."""
+    from meterlake.operators.grid import column_profile
+    from meterlake.sources import fixtures as FX
+    cells = FX.cells(spark, SF)
+    df = column_profile(cells)
+    columns = len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if hasattr(plan, "executedPlan") else plan
+    seen = {}
+
+    def walk(p):
+        name = p.nodeName()
+        below = [p.children().apply(i) for i in range(p.children().size())]
+        if name.endswith("QueryStage"):
+            below = [p.plan()]
+        for c in below:
+            walk(c)
+        m = p.metrics()
+        if m.contains("numOutputRows"):
+            seen.setdefault(name, []).append(m.apply("numOutputRows").value())
+        if name == "Sort" or name == "ObjectHashAggregate":
+            seen.setdefault("sorted", []).append(below[0])
+        if m.contains("numTasksFallBacked"):
+            seen.setdefault("fallback", []).append(m.apply("numTasksFallBacked").value())
+
+    walk(plan)
+    assert "ObjectHashAggregate" not in seen and not any(seen.get("fallback", []))
+    assert seen["HashAggregate"] and max(seen.get("SortAggregate", [0])) <= 4 * columns < cells.count() / 10
 
 
 def test_top_k_per_group_limits_before_shuffle(spark, q):
@@ -127,14 +155,17 @@ def test_drilldown_reads_the_fact_twice(spark):
     from meterlake.sources import lake
     root = lake.scratch_root(spark)
     P.run(spark, FX.cells(spark, SF), root)
-    gold = lake.read_gold(spark, root)
+    stored = lake.read_gold(spark, root)
+    bare = dataclasses.replace(stored, rollup=None)
     # without dynamic pruning, whose subquery prints the winners' plan again and reuses its broadcast
     spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "false")
     try:
-        for df in (D.peak_drilldown(gold), D.peak_drilldown(gold, None, "2024-01-05", "2024-01-20")):
-            p = plan_of(df)
-            assert sum("FileScan" in ln and "value" in ln for ln in p.splitlines()) == 2, p
-            assert "WindowGroupLimit" in p
+        # the stored rollup answers ranges of whole days; then only the series reads the fact
+        for gold, start, scans in ((bare, "2024-01-05", 2), (stored, "2024-01-05", 1), (stored, "2024-01-05 06:00:00", 2)):
+            for df in (D.peak_drilldown(gold, None, start, "2024-01-20"),):
+                p = plan_of(df)
+                assert sum("FileScan" in ln and "fact_measurement" in ln for ln in p.splitlines()) == scans, p
+                assert "WindowGroupLimit" in p
     finally:
         spark.conf.unset("spark.sql.optimizer.dynamicPartitionPruning.enabled")
 
