@@ -16,19 +16,24 @@ def top_n_other(daily: DataFrame, top_n: int = DEFAULT_TOP_N, key: str = "meter_
     Grouping is by *name* (meters sharing a name merge), ties by name.
     """
     keys = list(keys)
-    # One row per (keys, name, day), then the name's total on each of them. The
-    # window's key is (keys, name): no task holds more than a name's days.
-    named = daily.groupBy(*keys, key, "day").agg(F.sum("daily_total").alias("_d"))
-    total = F.sum("_d").over(Window.partitionBy(*keys, key))
-    first = F.row_number().over(Window.partitionBy(*keys, key).orderBy("day")) == 1
-    named = named.withColumn("_t", total).withColumn("_first", first)
-    # The names of a key are ranked by one row each, and every day row gets its
-    # name's rank: rows sort by total, name and day, so ranks are counted
-    # along the first rows.
+    # One row per (keys, name, day) with the name's total and first day. Both
+    # branches below read these rows from one exchange by (keys, name), so what
+    # lies under it runs once; names are ranked by one row each.
+    own = Window.partitionBy(*keys, key)
+    named = (daily.groupBy(*keys, key, "day").agg(F.sum("daily_total").alias("_d"))
+             .withColumn("_t", F.sum("_d").over(own)).withColumn("_first", F.min("day").over(own)))
     w = Window.partitionBy(*keys).orderBy(F.desc("_t"), F.asc(key))
-    ranked = named.withColumn("_rank", F.dense_rank().over(w))
-    grp = F.when(F.col("_rank") <= int(top_n), F.col(key)).otherwise(F.lit("Other"))
-    return (ranked.groupBy(*keys, "day", grp.alias("meter_group"))
+    top = (named.where(F.col("day") == F.col("_first")).withColumn("_rn", F.row_number().over(w))
+           .where(F.col("_rn") <= int(top_n))
+           .select(*[F.col(k).alias(f"_{k}") for k in (*keys, key)], F.lit(True).alias("_hit")))
+    # a null-safe join: "is not null" pushed down one branch only would make the
+    # branches differ and the exchange run twice
+    same = F.lit(True)
+    for k in (*keys, key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    j = named.join(top, same, "left")
+    grp = F.when(F.col("_hit") & F.col(key).isNotNull(), F.col(key)).otherwise(F.lit("Other"))
+    return (j.groupBy(*keys, "day", grp.alias("meter_group"))
             .agg(F.sum("_d").alias("daily_total")))
 
 
