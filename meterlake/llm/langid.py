@@ -25,8 +25,9 @@ from meterlake.llm.common import slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
-# Labelled documents sampled for each language (in the mean).
+# Labelled documents sampled for each language (in the mean), and languages that a model may have.
 SAMPLE_DOCS = 3000
+MAX_LANGS = 256
 # Nats that a change of language between two words costs.
 SWITCH = 12.0
 # A script is open to a language that writes at least this share of its letters in it.
@@ -130,16 +131,21 @@ def _counts(batches):
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        sample_docs: int = SAMPLE_DOCS) -> Model | None:
+        sample_docs: int = SAMPLE_DOCS, max_langs: int = MAX_LANGS) -> Model | None:
     """A model of the rows that have text and language; about ``sample_docs``
-    of each language are read. None if there is no such row."""
+    of each language are read, drawn by id and text together, so that rows
+    without an id or with the same one are drawn one by one. None if there is
+    no such row. A model takes 256 kB a language on the driver and in every
+    task; more than ``max_langs`` different values are an error."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                            F.col(id_col).alias("id")).filter("text is not null and lang is not null")
-    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
     if not per:
         return None
+    if len(per) > max_langs:
+        raise ValueError(f"more than {max_langs} values in {lang_col}: clean the column or raise max_langs")
     share = F.create_map(*[F.lit(x) for lang, n in per.items() for x in (lang, min(1.0, sample_docs / n))])
-    u = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    u = F.pmod(F.xxhash64(F.lit("sample"), "id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     drawn = rows.filter(u < F.try_element_at(share, F.col("lang"))).select("text", "lang")
     # languages x (BUCKETS + scripts) rows at most
     table = drawn.mapInPandas(_counts, "lang string, slot long, n long").groupBy("lang", "slot").agg(
@@ -246,6 +252,18 @@ def predict(docs: DataFrame, model: Model | None, carry: list[str], text_col: st
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")
 
 
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a letter: those that ``predict`` does not call
+    ``und`` where a model is at hand."""
+    def run(batches):
+        for b in batches:
+            texts = b.column("_text").to_pylist()
+            yield b.filter(pa.array([any(map(str.isalpha, t or "")) for t in texts], pa.bool_())).drop_columns(["_text"])
+
+    rows = docs.select("*", F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, docs.schema)
+
+
 def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           switch: float = SWITCH) -> DataFrame:
     """(id, first_word, last_word, lang) of every span, by number of word."""

@@ -65,13 +65,14 @@ def encoder(path: str, ranks_path: str) -> Callable[[list[str]], list[bytes]]:
     single space, so words between single spaces are encoded once per task
     and remembered (``encode.words``, bounded and emptied by the task); the ranks file holds the same vocabulary
     and encodes such a word several times as fast. Texts with other runs of
-    white space are encoded whole.
+    white space, and texts that hold an added token of the tokenizer file (which
+    is one id wherever it stands), are encoded whole by that file.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(n) for a, n in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -95,7 +96,7 @@ def encoder(path: str, ranks_path: str) -> Callable[[list[str]], list[bytes]]:
     def encode(texts: list[str]) -> list[bytes]:
         if len(words) > _CACHE_WORDS:
             words.clear()
-        cut = [None if _spaced_out(t) else t.split(" ") for t in texts]
+        cut = [None if _spaced_out(t) or any(a in t for a in added) else t.split(" ") for t in texts]
         new = set().union(*[c[1:] for c in cut if c]).difference(words)
         if new:
             learn(list(new))

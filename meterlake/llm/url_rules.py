@@ -55,10 +55,13 @@ def sweep(urls: DataFrame, rules: DataFrame) -> DataFrame:
         F.struct(F.concat(key, F.unhex(F.lit("FF"))).alias("key"), F.lit(2).alias("kind"), F.lit(-1).alias("step")))).alias("m"),
         rule.alias("hit")).select("m.key", "m.kind", none.alias("host"), none.alias("path"), "m.step",
                                   F.when(F.col("m.kind") == 0, F.col("hit")).alias("hit"))
+    # a host suffix of more labels than any rule's host has cannot be one
+    deepest = own.agg(F.max(F.size(F.split("rh", r"\.", -1)))).first()[0] or 1
     labels = F.split("host", r"\.", -1)
-    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)),
-                                   lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    probes = urls.select("host", "path", suffix.alias("suffix")).select(
+    tail = urls.select("host", "path", F.slice(labels, F.greatest(F.size(labels) - (deepest - 1), F.lit(1)), deepest).alias("tail"))
+    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size("tail")),
+                                   lambda i: F.array_join(F.slice("tail", i, F.size("tail")), ".")))
+    probes = tail.select("host", "path", suffix.alias("suffix")).select(
         _key(F.col("suffix"), F.col("path")).alias("key"), F.lit(1).alias("kind"), "host", "path", F.lit(0).alias("step"),
         F.lit(None).cast(marks.schema["hit"].dataType).alias("hit"))
     order = ["key", "kind", "host"]

@@ -536,13 +536,14 @@ def test_encoder_is_the_tokenizer(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.tokenizer_path())
     e = packing.encoder(packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
-    t.encode_special_tokens = True
     r = random.Random(1)
     bits = ["a", "bé", "  ", " ", "\n", "\t", " ", "x.", "'s", "123", "\r\n", "<|endoftext|>", "!", "\u00a0", "日本", "ª", "²", "\x1c", "'ll", "ÿ"]
     texts = ["".join(r.choice(bits) for _ in range(r.randrange(14))) for _ in range(3000)] + [x for x in _texts() if x]
     texts += [x.text for x in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    texts += ["x <|endoftext|> y", "<|endoftext|>", "a b<|endoftext|>c d", "<|endoftext |> <|endoftext|"]
     for x, b in zip(texts, e(texts)):
         assert np.frombuffer(b, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+    assert np.frombuffer(e(["x <|endoftext|> y"])[0], "<u4").tolist() == [87, 220, 50256, 331]
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -644,3 +645,78 @@ def test_pipeline_runs(spark, none):
     assert CP.run(spark, SF).count() > 0
     for _, f in CP.STAGES:
         assert f(spark, none, "").count() == 0
+
+
+# --- language model and url rules on awkward columns
+
+def test_model_of_rows_without_ids(spark):
+    rows = [(None, f"wort {i} und noch ein satz", "de", None, 0) for i in range(4000)]
+    rows += [(7, f"word {i} and one more sentence", "en", None, 0) for i in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(docs, sample_docs=500)
+    assert model.langs == ["de", "en"]
+    got = langid.predict(docs.limit(20), model, ["lang"]).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_too_many_languages_fail(spark):
+    docs = spark.createDataFrame([(i, "a text", f"x{i}", None, 0) for i in range(20)], DOCS)
+    with pytest.raises(ValueError, match="more than 10"):
+        langid.fit(docs, max_langs=10)
+
+
+def test_language_stage_without_labels(spark):
+    docs = spark.createDataFrame([(1, "123 456", None, None, 0), (2, None, None, "s", 0), (3, "a 1", None, None, 1), (4, "", None, None, 0), (5, "é", None, None, 0)], DOCS)
+    kept = CP.identify_language(spark, docs, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 5] and kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_language_of_a_whole_table_in_plain_python(spark):
+    """The whole prediction again: grams word by word, all languages, Viterbi
+    by its definition."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held = langid.held_out()
+    model = langid.fit(docs.filter(~held))
+    got = {r["doc_id"]: r for r in registry.op5_language(spark, SF).collect()}
+    for row in docs.collect():
+        words = (row["text"] or "").lower().split()
+        letters = ["".join(c for c in w if c.isalpha()) for w in words]
+        n, k = len(words), len(model.langs)
+        if not any(letters):
+            assert (got[row["doc_id"]]["lang_pred"], got[row["doc_id"]]["score"]) == ("und", 0.0)
+            continue
+        emit = []
+        for w in letters:
+            if not w:
+                emit.append([0.0] * k)
+                continue
+            at = max(i for i, s in enumerate([0, *langid._STARTS]) if s <= ord(w[0]))
+            may = model.open[langid._OF[at]]
+            bucket = langid._grams([w])[1]
+            total = [sum(float(model.score[b, j]) for b in bucket) for j in range(k)]
+            emit.append([0.0] * k if not may.any() else [t if m else -1e6 for t, m in zip(total, may)])
+        best, back = list(emit[0]), []
+        for e in emit[1:]:
+            top = max(range(k), key=lambda j: best[j])
+            step = [j if best[j] >= best[top] - langid.SWITCH else top for j in range(k)]
+            best = [max(best[j], best[top] - langid.SWITCH) + e[j] for j in range(k)]
+            back.append(step)
+        at = max(range(k), key=lambda j: best[j])
+        path = [at]
+        for step in reversed(back):
+            at = step[at]
+            path.append(at)
+        votes = [0] * k
+        for w, j in zip(letters, reversed(path)):
+            if w and model.open[langid._OF[max(i for i, s in enumerate([0, *langid._STARTS]) if s <= ord(w[0]))]].any():
+                votes[j] += len(w)
+        lang = max(range(k), key=lambda j: votes[j]) if any(votes) else model.common
+        r = got[row["doc_id"]]
+        assert r["lang_pred"] == model.langs[lang] and abs(r["score"] - votes[lang] / sum(map(len, letters))) < 1e-9
+
+
+def test_a_very_long_host(spark):
+    urls = ["http://" + "a." * 100_000 + "example.org/en/1x", "http://" + "a." * 50_000 + "de/", "http://x.com/fr/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_rules.judge(pages, url_rules.rule_table(spark), ["page_id"]).orderBy("page_id").collect()
+    assert [r["rule"] for r in got] == ["example.org/en/1", None, "com/fr/"]
