@@ -18,11 +18,15 @@ from meterlake.llm.common import DOC_COLUMNS, keep_rows, stage, table
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those of which less than a quarter of
     the letters is in the language predicted (scripts that no labelled
-    language writes). The model learns from the labelled rows given."""
+    language writes). The model learns from the labelled rows given; where
+    there is none, nothing is known of languages and only texts without a
+    letter (null ones among them) go."""
+    docs = docs.select(*DOC_COLUMNS)
     model = langid.fit(docs)
-    judged = langid.predict(docs.select(*DOC_COLUMNS), model, DOC_COLUMNS)
-    kept = judged.filter(f"lang_pred <> '{langid.UNKNOWN}' and score >= {langid.MIN_SCORE}") if model else docs
-    return kept.select(*DOC_COLUMNS)
+    if model is None:
+        return langid.with_letters(docs)
+    judged = langid.predict(docs, model, DOC_COLUMNS)
+    return judged.filter(f"lang_pred <> '{langid.UNKNOWN}' and score >= {langid.MIN_SCORE}").select(*DOC_COLUMNS)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
