@@ -4,10 +4,12 @@ Each finished batch is an immutable snapshot: its distinct digests lie in
 buckets of the digest, and every bucket has a static binary-fuse filter. A
 new batch is first grouped by itself, one row per digest and task before the
 shuffle; its distinct digests are screened by the filters of each snapshot
-before it. Only positives are joined with the snapshot's exact buckets.
-Groups are then checked byte for byte: the least and the greatest normalised text of a digest must be the same text (one pair of texts
+before it. Only positives are joined with the snapshot's exact buckets. Bytes
+are compared where there is something to compare: the texts of positives and
+of groups with several rows of a batch go to their digest's bucket, where the
+least and the greatest normalised text must be the same text (one pair of texts
 per task and digest is shuffled, however many copies there are). A digest
-whose texts differ is split by text.
+whose texts differ is split by text. Texts that stand alone are not moved.
 
 Texts are equal when alike after deleting U+0020 and U+0009..U+000D. Null
 counts as empty, and empty texts are equal to each other. Of equal texts the
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import SPACES, row_key, stage
 from meterlake.llm.fuse import BinaryFuse8
+from meterlake.operators.sizing import checked_broadcast
 
 # Digests in a bucket on average; a bucket is what one task loads at a time.
 BUCKET_DIGESTS = 100_000
@@ -58,8 +61,9 @@ def build_filters(digests: DataFrame, buckets: int) -> DataFrame:
     return keyed.groupBy("bucket").applyInPandas(build, "bucket int, filter binary")
 
 
-def screen(digests: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
-    """The ``digests`` that a snapshot's filters cannot exclude."""
+def screen(digests: DataFrame, filters: DataFrame, buckets: int, copies: int = 1) -> DataFrame:
+    """The ``digests`` that a snapshot's filters cannot exclude. Where the new
+    batch is larger than the snapshot, each filter is asked in ``copies``."""
     def ask(new: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(new):
             return new[["digest"]].iloc[:0]
@@ -67,8 +71,10 @@ def screen(digests: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
         return new.loc[hit, ["digest"]]
 
     keyed = digests.select("digest", _key().alias("key")).withColumn(
-        "bucket", F.pmod("key", F.lit(buckets)).cast("int"))
-    return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(ask, "digest binary")
+        "bucket", F.pmod("key", F.lit(buckets)).cast("int")).withColumn(
+        "copy", F.pmod(F.xxhash64(F.lit("copy"), "key"), F.lit(copies)).cast("int"))
+    spread = filters.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return keyed.groupBy("bucket", "copy").cogroup(spread.groupBy("bucket", "copy")).applyInPandas(ask, "digest binary")
 
 
 class Snapshot:
@@ -81,7 +87,8 @@ class Snapshot:
 
     def matches(self, new: DataFrame) -> DataFrame:
         """Of the ``new`` groups, the digests that are in this snapshot."""
-        positive = screen(new.select("digest"), self.filters, self.buckets)
+        copies = max(1, -(-new.count() // (self.buckets * BUCKET_DIGESTS)))
+        positive = screen(new.select("digest"), self.filters, self.buckets, copies)
         return positive.join(self.groups.select("digest"), "digest", "left_semi")
 
 
@@ -91,7 +98,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
         *row_key(id_col, text_col), F.col(id_col).cast("long").alias("id"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("chars"),
         F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"),
-    ).withColumn("batch", F.pmod(F.xxhash64("_k1"), F.lit(batches)).cast("int"))
+    ).withColumn("batch", F.pmod(F.xxhash64("_k1", "_k2"), F.lit(batches)).cast("int"))
 
 
 def _merge(groups: DataFrame) -> DataFrame:
@@ -136,10 +143,14 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batc
     id), size. Rows alike in id and text are all reported."""
     rows = stage(digests(docs, id_col, text_col, batches), "digests")
     groups = stage(dedup_groups(rows, batches), "groups")
+    # a digest with one row has nothing to be compared with: those with several, positives of
+    # the filters among them, pick their texts. Digests of 32 bytes are broadcast below the limit.
+    several = stage(groups.filter("size > 1").select("digest"), "several")
     texts = docs.select(F.unhex(F.sha2(normalised(text_col), 256)).alias("digest"),
                         normalised(text_col).alias("text"), *row_key(id_col, text_col))
     # combined before the shuffle: no task reads the copies of a hot text
-    checked = texts.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+    checked = texts.join(checked_broadcast(several), "digest", "left_semi").groupBy("digest").agg(
+        F.min("text").alias("lo"), F.max("text").alias("hi"))
     clash = stage(checked.filter("lo <> hi").select("digest"), "clashes")
     same = groups.select("digest", F.col("best").alias("keep"), "size")
     if clash.isEmpty():

@@ -584,6 +584,24 @@ def test_exact_dedup(spark, docs, rows, batches):
         (r[0], d, *by[d]) for r in rows for d in [hashlib.sha256(_norm(r[1]).encode()).digest()])
 
 
+def test_exact_dedup_without_ids_in_small_buckets(spark, monkeypatch):
+    """Rows without an id are dealt over the batches, and a batch larger than
+    the snapshot asks its filters in copies."""
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 20)
+    asked = []
+    real = exact_dedup.screen
+    monkeypatch.setattr(exact_dedup, "screen", lambda d, f, b, copies=1: asked.append((b, copies)) or real(d, f, b, copies))
+    rows = [(None, f"text {i % 300}", None, None, 0) for i in range(500)] + [(None, "hot text", None, None, 0)] * 300
+    d = spark.createDataFrame(rows, DOCS)
+    batch = {r["batch"]: r["count"] for r in exact_dedup.digests(d).groupBy("batch").count().collect()}
+    assert set(batch) == {0, 1}
+    got = Counter(r["size"] for r in exact_dedup.assign(d, batches=2).collect())
+    assert got == {1: 100, 2: 400, 300: 300}
+    groups = exact_dedup._groups(exact_dedup.digests(d))
+    snapshot = exact_dedup.Snapshot(groups.limit(15))
+    assert snapshot.matches(groups).count() == 15 and asked[-1] == (1, 16)
+
+
 def test_texts_that_share_a_digest_are_split(spark, monkeypatch):
     from pyspark.sql import functions as F
     monkeypatch.setattr(F, "sha2", lambda c, n: F.lpad(F.hex(F.length(c)), 64, "0"))
