@@ -117,16 +117,26 @@ SELECT doc_id, source, text, unnest(range(1, n + 1)) AS copy FROM n WHERE n > 0"
 def _op7_sql() -> str:
     q = lambda s: "'" + s.replace("'", "''") + "'"
     pairs = lambda d: "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in d.items()) + "}"
+    listed = lambda xs: "(" + ", ".join(map(q, xs)) + ")"
+    known = licenses.known_sentences()
     names = {"".join(i + ";" for i in ids): n for n, ids in licenses.rules()}
+    text = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for pattern, to in licenses.STEPS:
+        text = f"regexp_replace({text}, {q(pattern)}, {q(to)}, 'g')"
     return f"""
-WITH a AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[.!?;:]([^0-9a-z])', chr(10) || '\\1', 'g'), chr(10)),
-        lambda x: trim(regexp_replace(x, '[^0-9a-z]+', ' ', 'g'))), lambda x: x <> '') AS s FROM documents),
-b AS (SELECT doc_id, len(s)::BIGINT AS n_sentences,
-        list_filter(list_transform(s, lambda x: {pairs(licenses.known_sentences())}[x]), lambda x: x IS NOT NULL) AS ids FROM a),
-c AS (SELECT doc_id, n_sentences, coalesce(array_to_string(list_transform(ids, lambda x: x || ';'), ''), '') AS sentence_ids FROM b),
-d AS (SELECT *, regexp_extract_all(sentence_ids, {q(licenses.rule_pattern())}) AS m FROM c)
+WITH a AS (SELECT row_number() OVER () AS rid, doc_id, trim({text}, ' ' || chr(10) || 'P') AS t FROM documents),
+s AS (SELECT rid, string_split(unnest(string_split(t, 'P')), chr(10)) AS own, generate_subscripts(string_split(t, 'P'), 1) AS sn FROM a),
+l AS (SELECT rid, sn, own, unnest(range(1, len(own) + 1)) AS i FROM s),
+o AS (SELECT * FROM l WHERE own[i] IN {listed(licenses.openers())} OR array_to_string(
+        string_split(own[i] || coalesce(' ' || own[i + 1], ''), ' ')[1:2], ' ') IN {listed(licenses.openers())}),
+c AS (SELECT rid, sn, own, i, unnest(range(1, least(len(own) - i + 1, {licenses.longest()}) + 1)) AS n FROM o),
+m AS (SELECT rid, sn, i, max(n) AS n, arg_max(cand, n) AS cand FROM (SELECT *, array_to_string(own[i:i + n - 1], ' ') AS cand FROM c)
+      WHERE cand IN {listed(known)} GROUP BY rid, sn, i),
+k AS (SELECT *, coalesce(max(i + n) OVER (PARTITION BY rid, sn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > i, false) AS inside FROM m),
+f AS (SELECT rid, string_agg({pairs(known)}[cand] || ';', '' ORDER BY sn, i) AS ids FROM k WHERE NOT inside GROUP BY rid),
+d AS (SELECT a.doc_id, CASE WHEN t = '' THEN 0 ELSE length(t) - length(translate(t, chr(10) || 'P', '')) + 1 END::BIGINT AS n_sentences,
+        coalesce(f.ids, '') AS sentence_ids, regexp_extract_all(coalesce(f.ids, ''), {q(licenses.rule_pattern())}) AS m
+      FROM a LEFT JOIN f ON f.rid = a.rid)
 SELECT doc_id, n_sentences, sentence_ids,
     coalesce(array_to_string(list_sort(list_distinct(list_transform(m, lambda x: {pairs(names)}[x]))), ','), '') AS licenses,
     len(m)::BIGINT AS n_matches FROM d"""

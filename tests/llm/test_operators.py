@@ -482,6 +482,40 @@ def test_wrapped_licenses(spark):
     assert got == {i: (k, int(k != "")) for i, _, k in rows}
 
 
+def _header(*parts, mark=" * ", width=60):
+    return "\n".join(textwrap.fill(p, width, initial_indent=mark, subsequent_indent=mark) for p in parts)
+
+
+def test_licence_headers_and_markers(spark, monkeypatch):
+    t = dict(licenses._SENTENCES)
+    gpl = lambda s, v, n: _header(f"{t['gpl-library' if s == 'lgpl' else 'gpl-free']}: {licenses._TERMS.format(name=n, v=v)}.", t["gpl-hope"] + ".")
+    texts = {
+        "Apache-2.0": [_header('Licensed under the Apache License, Version 2.0 (the "License");', f"{t['apache-condition']}.", f"{t['apache-copy']}", "", f"{t['apache-as-is']}.", f"{t['apache-governing']}.")],
+        "GPL-3.0-or-later": [gpl("gpl", "3", "GNU General Public License")],
+        "LGPL-2.1-or-later": [gpl("lgpl", "2.1", "GNU Lesser General Public License")],
+        "Zlib": [_header(*(f"{t[k]}." for k in ("zlib-warranty", "zlib-grant", "zlib-origin", "zlib-altered", "zlib-notice")), mark="// ")],
+        "MPL-2.0": [_header(f"{t['mpl-2.0']}. 2.0. {t['mpl-2.0-copy']}://mozilla.example/MPL/2.0/.", mark="# "), "// SPDX-License-Identifier: MPL-2.0\ncode"],
+        "MIT": [_header(*(t[k] + "." for k in ("mit-grant", "mit-notice", "warranty-mit", "liability-mit"))), "# SPDX-License-Identifier: MIT",
+                "This project is\nlicensed under the MIT License"],
+        "GPL-2.0-only": ["/* SPDX-License-Identifier: GPL-2.0-only */\nint main;"],
+        "BSD-4-Clause": [_header(*(t[k] + "." for k in ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advertising")))],
+        "EPL-2.0": [_header(t["epl-2.0"])], "CC0-1.0": [t["cc0"]], "": ["MIT", "Identifier: MIT", "a\nthis\nprogram\nis", t["warranty-mit"]]}
+    rows = [(i, x, None, None, 0) for i, x in enumerate(x for xs in texts.values() for x in xs)]
+    rows += [(900, None, None, None, 0), (901, "\n" * 50, None, None, 0), (902, "This program is free software. " * 5_000, None, None, 0),
+             (903, "this\n" * 20_000, None, None, 0), (903, "P\nallP rights reserved\nAll\nrights\nreserved", None, None, 0)]
+    want = [k for k, xs in texts.items() for _ in xs]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r for r in licenses.scan(df).collect()}
+    assert [got[i]["licenses"] for i in range(len(want))] == want
+    assert got[902]["n_matches"] == 5_000 and got[903]["n_matches"] in (0, 1)
+    # the SQL by the same rule, over the same texts
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    sql = con.execute(registry.ORACLE_SQL["op7_license_scan"]).fetchall()
+    assert sorted(map(str, sql)) == sorted(str(tuple(r)) for r in licenses.scan(df).collect())
+
+
 # --- op8
 
 def test_url_rules(spark):
