@@ -40,7 +40,7 @@ def _leaf(g: float, h: float, l2: float) -> float:
     return g / (h + l2)
 
 
-def fit(mask: np.ndarray, pos: np.ndarray, neg: np.ndarray, bits: int, rounds: int = 24,
+def fit(mask: np.ndarray, pos: np.ndarray, neg: np.ndarray, bits: int, rounds: int = 60,
         rate: float = 0.4, l2: float = 1.0) -> Boosted:
     """Logistic loss, second-order gains, trees of depth two."""
     n = pos + neg

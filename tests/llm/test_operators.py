@@ -239,6 +239,47 @@ def test_pii_adds_other_spellings_at_any_share(spark, planted, plain):
     assert {texts[i]: got[i] for i in range(n) if got[i] != want[i]} == {}
 
 
+def test_pii_precision_and_recall_by_kind(spark):
+    """On cases of other values than those fitted on, and on cases of formats
+    that no rule made."""
+    from meterlake.llm import pii_cases
+    made = pii_cases.make(10, seed=77)
+    d = spark.createDataFrame([(i, c.text) for i, c in enumerate(made)], "doc_id long, text string").repartition(4)
+    # base spans are the contract's; counted is what the method adds
+    got = {x.id: sorted({*x.spans.split(",")} - {*x.base.split(",")}) for x in pii.detect(d).select(
+        "id", pii.span_text("spans").alias("spans"), pii.span_text("base").alias("base")).collect()}
+    hit, wrong, lost = Counter(), Counter(), Counter()
+    for i, c in enumerate(made):
+        want = f"{c.kind}:{c.start}:{c.end}"
+        for x in filter(None, got[i]):
+            (hit if x == want else wrong)[x.split(":")[0]] += 1
+        lost[c.kind] += c.kind is not None and want not in got[i]
+    for k in pii.KINDS:
+        assert hit[k] / (hit[k] + wrong[k]) >= 0.95 and hit[k] / (hit[k] + lost[k]) >= 0.95, (k, hit, wrong, lost)
+    yes = {"Call 0049 30 123456 today": "phone:5:19", "say bob AT mail DOT org": "email:4:23", "x bob{at}mail{dot}org y": "email:2:21"}
+    no = ["your order 4471 8820 9912 is on its way", "numbers 10 20 30 40 50 60", "version 12.34.567.89 is out", "SSN 123-45-6789", "pages 1200-1250"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*yes, *no])], "doc_id long, text string")
+    got = {x.id: x.spans for x in pii.detect(d).select("id", pii.span_text("spans").alias("spans")).collect()}
+    assert [got[i] for i in range(len(yes) + len(no))] == [*yes.values(), *[""] * len(no)]
+
+
+def test_pii_trees_use_context_and_format(spark):
+    model, cuts = pii.fit(spark)
+    used = {b for t in model.trees for b in t[:3]}
+    assert used & {4, 5} and used & set(range(9, 13)) and used & set(range(13, 22)) and all(c < float("inf") for c in cuts)
+    assert len({t[:3] for t in model.trees}) > 10
+
+
+def test_pii_of_very_many_matches_in_one_text(spark):
+    import time
+    n = 40_000
+    text = " ".join(f"u{i}@mail.example.org" if i % 2 else f"u{i} (at) mail (dot) org" for i in range(n))
+    d = spark.createDataFrame([(1, text, 5, "z"), (1, text, 5, "z"), (None, "a@b.c", 5, "z")], "doc_id long, text string, id long, cand string")
+    t = time.time()
+    got = pii.detect(d).selectExpr("id", "size(base[0]) b", "size(spans[0]) s").collect()
+    assert sorted((r["b"], r["s"]) for r in got) == [(1, 1), (n // 2, n), (n // 2, n)] and time.time() - t < 120
+
+
 def test_boosting_learns_a_conjunction():
     mask = np.arange(16)
     pos = np.where((mask & 5) == 5, 90.0, 5.0)
