@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import ASCII_LOWER, ASCII_UPPER, SPACES, ascii_lower, row_key, slices, stage
+from meterlake.session import observed
 
 MIN_CHARS, MIN_DOCS = 40, 5
 # Keys of a shard on average (24 bytes each), and questions that one copy of a shard answers on average.
@@ -178,7 +179,7 @@ def drops(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, mi
     keys = line_keys(docs, id_col, text_col, min_chars)
     asked = Observation("asked")
     often = stage(count_lines(keys).observe(asked, F.sum("docs").alias("n")).filter(F.col("docs") >= min_docs), "line_counts")
-    total = int(asked.get["n"] or 0)
+    total = int(observed(asked).get("n") or 0)
     own = often.agg(F.count("*").alias("keys"), F.sum("docs").alias("n")).first()
     shards = max(1, -(-own["keys"] // shard_keys))
     index = stage(build_index(often, shards), "line_index")

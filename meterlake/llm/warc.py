@@ -17,16 +17,19 @@ import hashlib
 import io
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import stage
+from meterlake.session import observed
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-# Records of one archive file (three per capture).
-RECORDS_PER_FILE = 30_000
+# Bytes of an archive file before compression, in the mean: it is read as one value.
+FILE_BYTES = 24 << 20
+# Bytes of a capture's three records besides payload and url.
+HEADER_BYTES = 1_500
 # Payloads that repeat, up to which their first captures are broadcast (about 30 MB).
 BROADCAST_ROWS = 200_000
 _FLUSH_BYTES = 4 << 20
@@ -69,8 +72,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     own = F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("-")), F.coalesce("url", F.lit("-")), F.col("same"))
     rows = rows.withColumn("own", own)
     first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "own")).alias("f")
-    firsts = stage(rows.groupBy("same").agg(first, F.count("*").alias("c")).filter("c > 1")
+    own_bytes = F.octet_length("payload") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    weighed = Observation("captures")
+    rows_seen = rows.observe(weighed, F.count("*").alias("n"), F.sum(own_bytes).alias("bytes"))
+    firsts = stage(rows_seen.groupBy("same").agg(first, F.count("*").alias("c")).filter("c > 1")
                    .select("same", F.col("f.id").alias("first_id"), F.col("f.own").alias("first_own")), "firsts")
+    seen = observed(weighed)
+    per_file = max(3, int(3 * FILE_BYTES * (seen.get("n") or 1) // max(seen.get("bytes") or 1, 1)))
     if firsts.count() <= BROADCAST_ROWS:
         firsts = F.broadcast(firsts)
     j = rows.join(firsts, "same", "left").withColumn(
@@ -99,7 +107,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                     F.concat(F.lit("payloadLength: "), F.octet_length("payload").cast("string")), F.lit("")))
     # an empty last line keeps the fields' own line end apart from the separator
     j.select(F.explode(F.array(request, response, metadata)).alias("value")).write.option(
-        "lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+        "lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse(stream):

@@ -153,6 +153,13 @@ def test_line_dedup_without_common_lines(spark):
     assert sorted((tuple(r) for r in got), key=str) == _stripped(rows)
 
 
+def test_line_dedup_of_short_lines_only(spark):
+    """Whether a line is long enough is seen at run time only."""
+    rows = [(i, "short\n" * (i % 3), None, None, 0) for i in range(40)]
+    got = line_dedup.dedup_lines(frame(spark, rows)).selectExpr("id", "n_lines", "n_dropped", "sha2(kept, 256)").collect()
+    assert sorted((tuple(r) for r in got), key=str) == _stripped(rows)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_minimal_perfect_hash(n):
     r = np.random.default_rng(n)
