@@ -990,11 +990,13 @@ exp AS ({_F3_SILVER_SELECT})
 
 def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
     """Queries and SQL of the training-data operators and their pipeline, where
-    these can be imported."""
+    these are there. A package that they need and that is missing is an error."""
     try:
         import corpus_pipeline
         from meterlake.llm import registry
-    except ImportError:
+    except ImportError as e:
+        if e.name != "corpus_pipeline" and not (e.name or "").startswith("meterlake.llm"):
+            raise
         return {}, {}
     sql = dict(registry.ORACLE_SQL)
     if corpus_pipeline.ORACLE_SQL:
