@@ -31,6 +31,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,12 +61,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
            mode: str = "overwrite", extra: dict | None = None,
-           rebalance: bool = True, cluster: list | None = None,
+           rebalance: bool = True, cluster: list | None = None, order: list | None = None,
            options: dict | None = None) -> dict:
     """Write with observed row count; returns ``{name_rows: n}``, and what
     ``extra`` observes, by name. ``cluster`` deals the rows to files by ranges
     of these columns and sorts them inside (the first are the partition
-    columns); otherwise the rows are rebalanced."""
+    columns); otherwise the rows are rebalanced, and sorted by ``order``."""
     obs = Observation(name)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for k, c in (extra or {}).items():
@@ -79,6 +80,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str], name: str,
         # merges small ones); without partition columns it only evens file sizes
         if rebalance:
             out = out.hint("rebalance", *partition_by)
+        if order:
+            out = out.sortWithinPartitions(*order)
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -125,9 +128,10 @@ def write_silver(silver: DataFrame, root: str, halls: list | None = None) -> dic
     """Publish silver of all halls, or of ``halls`` only: a hall that has no
     rows left loses its old ones, all others keep their files."""
     spark = silver.sparkSession
-    folder = versions.new_folder(spark, root)
+    now = versions.published(spark, root)
+    folder = versions.new_folder(now)
     m, written = _write_version(silver, root, "silver", folder, "silver")
-    versions.publish(spark, root, {"silver": (folder, written)}, halls)
+    versions.publish(spark, root, now, {"silver": (folder, written)}, halls)
     return m
 
 
@@ -159,24 +163,31 @@ def write_gold(gold: Gold, root: str, halls: list | None = None) -> dict:
     the reading, by which scans skip (``schema.FACT_STORED``). The daily rollup
     is summed from the fact just written."""
     spark = gold.fact.sparkSession
-    folder = versions.new_folder(spark, root)
+    now = versions.published(spark, root)
+    folder = versions.new_folder(now)
     m, changes = {}, {}
 
-    def write(table: str, df: DataFrame, name: str, **kw) -> None:
+    def write(table: str, df: DataFrame, name: str, **kw) -> list:
         got, written = _write_version(df, root, f"gold/{table}", folder, name, **kw)
         m.update(got)
         changes[f"gold/{table}"] = (folder, written)
-
-    fact = gold.fact.select(*FACT.names, F.to_date("timestamp").alias(READING_DATE))
-    write("fact_measurement", fact, "fact", options=FACT_OPTIONS,
-          cluster=[F.col(c) for c in ("hall_id", READING_DATE, "meter_id", "timestamp")])
-    write("dim_hall", gold.dim_hall, "dim_hall")
-    write("dim_meter", gold.dim_meter, "dim_meter")
-    written = changes["gold/fact_measurement"][1]
-    fact = spark.createDataFrame([], FACT) if not written else versions.read_folders(
-        spark, layer_path(root, "gold/fact_measurement"), [folder], FACT)
-    write("meter_day", meter_day(fact), "meter_day", cluster=[F.col("hall_id"), F.col("day"), F.col("meter_id")])
-    versions.publish(spark, root, changes, halls)
+        return written
+
+    def write_fact() -> None:
+        fact = gold.fact.select(*FACT.names, F.to_date("timestamp").alias(READING_DATE))
+        written = write("fact_measurement", fact, "fact", options=FACT_OPTIONS,
+                        cluster=[F.col(c) for c in ("hall_id", READING_DATE, "meter_id", "timestamp")])
+        stored = spark.createDataFrame([], FACT) if not written else versions.read_folders(
+            spark, layer_path(root, "gold/fact_measurement"), [folder], FACT)
+        write("meter_day", meter_day(stored), "meter_day", order=["hall_id", "day", "meter_id"])
+
+    # the dimensions need nothing of the fact: their jobs fill the gaps between its
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(write_fact), pool.submit(write, "dim_hall", gold.dim_hall, "dim_hall"),
+                pool.submit(write, "dim_meter", gold.dim_meter, "dim_meter")]
+    for j in jobs:
+        j.result()
+    versions.publish(spark, root, now, changes, halls)
     return m
 
 

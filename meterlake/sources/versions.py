@@ -74,16 +74,16 @@ def published(spark: SparkSession, root: str) -> Published:
     return Published(last[0]["version"], entries)
 
 
-def new_folder(spark: SparkSession, root: str) -> str:
+def new_folder(now: Published) -> str:
     """A version folder name that no write has used."""
-    return f"v={published(spark, root).version + 1:08d}-{uuid.uuid4().hex[:8]}"
+    return f"v={now.version + 1:08d}-{uuid.uuid4().hex[:8]}"
 
 
-def publish(spark: SparkSession, root: str, changes: dict, halls: list | None = None) -> int:
-    """Make written folders visible. ``changes``: layer -> (version folder,
-    hall values written to it). With ``halls`` these halls are replaced (those
-    without rows disappear), otherwise the whole layer. Returns the number."""
-    now = published(spark, root)
+def publish(spark: SparkSession, root: str, now: Published, changes: dict, halls: list | None = None) -> int:
+    """Make written folders visible on top of ``now``. ``changes``: layer ->
+    (version folder, hall values written to it). With ``halls`` these halls are
+    replaced (those without rows disappear), otherwise the whole layer. Returns
+    the number."""
     entries = {layer: dict(own) for layer, own in now.entries.items()}
     for layer, (folder, written) in changes.items():
         own = {} if halls is None else entries.get(layer, {})
