@@ -14,11 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import LONG_MIN, ascii_lower
+from meterlake.llm.common import LONG_MIN, ascii_lower, stage
 
 WORDS = 5
 # One hash in so many is kept.
 SCALE = 8
+# Bytes of text in a range of ids, and the number of ranges beyond which they grow.
+RANGE_BYTES = 16 << 20
+MOST_RANGES = 200_000
 
 
 def with_hashes(df: DataFrame, text: Column, out: str, words: int = WORDS) -> DataFrame:
@@ -112,37 +115,82 @@ def as_text(a: str) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def chained(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def range_ends(rows: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_RANGES) -> list[tuple[int, int]]:
+    """Upper ends (id, place), ascending, that cut ``rows`` (id, text) with an
+    id into ranges of about ``range_bytes`` of text.
+
+    Texts of an id are weighed once per text, so what is sorted holds three
+    numbers a row and copies are added up before. A range is larger only by its
+    last text and that text's copies. Ends reach the driver: about ``most`` of
+    them, beyond which ranges grow with the corpus, and one per sorted partition.
+    """
+    keyed = rows.filter("id is not null").select("id", _place("text").alias("place"), F.octet_length("text").alias("n"))
+    keys = stage(keyed.groupBy("id", "place").agg(F.sum("n").alias("n")), "sketch_keys")
+    total = keys.agg(F.sum("n").alias("n")).first()["n"] or 0
+    each = max(range_bytes, total // most)
+    ordered = keys.repartitionByRange("id", "place").withColumn("part", F.spark_partition_id())
+    w = Window.partitionBy("part").orderBy("id", "place")
+    upto = ordered.withColumn("upto", F.sum("n").over(w)).withColumn("last", F.lead("id").over(w).isNull())
+    cut = F.floor(F.col("upto") / each) > F.floor((F.col("upto") - F.col("n")) / each)
+    return sorted((r["id"], r["place"]) for r in upto.filter(cut | F.col("last")).select("id", "place").collect())
+
+
+def _place(text: str) -> Column:
+    """Order of the rows of one id: descending by their text's hash."""
+    return F.bitwise_not(F.xxhash64(text))
+
+
+def _arrays(ends: list[tuple[int, int]]) -> tuple[Column, Column]:
+    """Ids and places of ``ends``, one literal each, however many."""
+    ids, places = zip(*ends)
+    return tuple(F.split(F.lit(",".join(map(str, c))), ",").cast("array<bigint>") for c in (ids, places))
+
+
+def _below(ends: list[tuple[int, int]]) -> Column:
+    """How many of ``ends`` lie below a row's (id, place), by bisection."""
+    ids, places = _arrays(ends)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(ends).bit_length()))])
+
+    def step(at: Column, s: Column) -> Column:
+        i, place = F.get(ids, at + s - 1), F.get(places, at + s - 1)
+        below = (i < F.col("id")) | ((i == F.col("id")) & (place < F.col("place")))
+        return F.when((at + s <= len(ends)) & below, at + s).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def chained(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(id, text, sketch, next_text, next_sketch) per row, next being the row
     with the next smaller id, after the smallest that with the largest.
 
-    Ids are cut into ranges at actual ids, about as many as shuffle
-    partitions. A range is one window; the rows at its upper end go to the
-    range above as well, where they follow the smallest id. Each text is
-    shuffled once. Rows of one id follow each other by their text's hash; a
-    null id has no place in the order, its next text is empty.
+    Rows are cut into ranges by bytes of text (``range_ends``), a task each, so
+    tasks do not grow with the corpus. A range is one window; the rows at its
+    upper end go to the range above as well, where they follow its smallest.
+    Each text is shuffled once. Rows of one id follow each other by their
+    text's hash and are cut into ranges like others; copies of one text under
+    one id stay in one range. A null id has no place in the order: its next
+    text is empty, and it is not shuffled.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    marks = [(i + 1) / (2 * n) for i in range(2 * n)]
-    ends = rows.agg(F.percentile_approx("id", marks, max(10_000, 40 * n)).alias("p"), F.max("id").alias("m")).first()
-    ends = sorted({*(ends["p"] or []), *([] if ends["m"] is None else [ends["m"]])})
-    # as many ids as ranges
-    at = F.lit(ends) if ends else F.array().cast("array<bigint>")
-    part = F.size(F.filter(at, lambda e: e < F.col("id")))
-    apart = -1 - F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
-    home = F.struct(F.when(F.col("id").isNull(), apart).otherwise(part).alias("part"), F.lit(False).alias("guest"))
-    above = F.struct(F.pmod(part + 1, F.lit(max(1, len(ends)))).alias("part"), F.lit(True).alias("guest"))
-    dealt = rows.select("id", "text", F.explode(F.when(F.array_contains(at, F.col("id")), F.array(home, above))
-                                                .otherwise(F.array(home))).alias("p"))
-    dealt = dealt.select("id", "text", "p.part", "p.guest").repartition("part")
-    dealt = with_sketch(dealt, "text", "sketch").withColumn("tie", F.xxhash64("text"))
-    w = Window.partitionBy("part").orderBy("guest", F.col("id").desc(), "tie")
-    nxt = lambda c: F.when(F.col("id").isNotNull(), F.lead(c).over(w))
-    return dealt.select("id", "text", "sketch", "guest", nxt("text").alias("next_text"), nxt("sketch").alias("next_sketch")) \
-        .filter("not guest").drop("guest") \
-        .withColumn("next_text", F.coalesce("next_text", F.lit(""))) \
-        .withColumn("next_sketch", F.coalesce("next_sketch", F.expr("cast(array() as array<bigint>)")))
+    # a table without ids has one range, which is empty
+    ends = range_ends(rows, range_bytes) or [(0, 0)]
+    n = len(ends)
+    placed = rows.filter("id is not null").withColumn("place", _place("text")).withColumn("part", _below(ends))
+    ids, places = _arrays(ends)
+    at_end = (F.get(ids, F.col("part")) == F.col("id")) & (F.get(places, F.col("part")) == F.col("place"))
+    home = F.struct(F.col("part"), F.lit(False).alias("guest"))
+    above = F.struct(F.pmod(F.col("part") + 1, F.lit(n)).alias("part"), F.lit(True).alias("guest"))
+    dealt = placed.select("id", "text", "place", F.explode(F.when(at_end, F.array(home, above)).otherwise(F.array(home))).alias("p"))
+    dealt = dealt.select("id", "text", "place", "p.part", "p.guest").repartitionById(n, F.col("part"))
+    dealt = with_sketch(dealt, "text", "sketch")
+    w = Window.partitionBy("part").orderBy("guest", F.col("id").desc(), F.col("place").desc())
+    none = F.expr("cast(array() as array<bigint>)")
+    chain = dealt.select("id", "text", "sketch", "guest", F.lead("text").over(w).alias("next_text"),
+                         F.lead("sketch").over(w).alias("next_sketch")).filter("not guest").drop("guest")
+    alone = with_sketch(rows.filter("id is null"), "text", "sketch").select(
+        "id", "text", "sketch", F.lit("").alias("next_text"), none.alias("next_sketch"))
+    return chain.withColumn("next_text", F.coalesce("next_text", F.lit(""))) \
+        .withColumn("next_sketch", F.coalesce("next_sketch", none)).unionByName(alone)
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

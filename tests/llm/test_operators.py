@@ -463,6 +463,29 @@ def test_sketch_null_and_repeated_ids(spark):
     assert sketch.compare_edited(d.filter("doc_id = 1 and text = 'y'")).first().near_next == 1.0
 
 
+def test_sketch_ranges_follow_bytes(spark):
+    # ids far apart, one id that holds a third of the rows, a long text, copies
+    rows = [(i * 37 - 900, f"text {i} " * (i % 5)) for i in range(60)]
+    rows += [(77, f"same id {i} " * 3) for i in range(40)] + [(5, "long " * 3000), (5, "twin"), (5, "twin"), (None, "free"), (None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    own = d.selectExpr("doc_id as id", "coalesce(text, '') as text")
+    ends = sketch.range_ends(own, 200)
+    assert len([e for e in ends if e[0] == 77]) > 3 and len(ends) > 10
+    place = {(r.id, r.text): r.p for r in own.select("id", "text", sketch._place("text").alias("p")).collect()}
+    order = sorted(((i, t) for i, t in rows if i is not None), key=lambda r: (r[0], place[r]), reverse=True)
+    want = sorted([(i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order)])
+    for size in (1, 200, 5000, 1 << 20):
+        c = sketch.chained(d, "doc_id", "text", size).select("id", "text", "next_text", "sketch", "next_sketch").collect()
+        assert sorted(tuple(r[:3]) for r in c if r.id is not None) == want
+        assert sorted(r.text for r in c if r.id is None) == ["", "free"]
+        assert all(r.next_text == "" and r.next_sketch == [] for r in c if r.id is None)
+        assert all(list(r.next_sketch) == _sketch(r.next_text) for r in c if r.id is not None)
+    plan = sketch.chained(d, "doc_id", "text", 200)._jdf.queryExecution().executedPlan().toString()
+    # each text is shuffled once
+    assert plan.count("Exchange") - plan.count("Exchange RoundRobin") == 1
+    assert len(sketch.range_ends(own, 200, 3)) < len(ends) / 2
+
+
 def test_containment_of_a_short_text(spark):
     words = [f"w{i}" for i in range(5000)]
     d = spark.createDataFrame([(" ".join(words), " ".join(words[100:700]))], "a string, b string")
