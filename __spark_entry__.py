@@ -45,6 +45,7 @@ from meterlake.sources import lake as L  # noqa: E402
 from meterlake.sources import fixtures as FX  # noqa: E402
 from meterlake.sources import union as U  # noqa: E402
 from meterlake.sources import versions as V  # noqa: E402
+from meterlake.sources import workbook as WB  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -350,6 +351,17 @@ def q_lake_two_arrivals(spark, d):
     return _r2(D.peak_drilldown(L.read_gold(spark, root)).join(halls, "hall_id"))
 
 
+def q_lake_archive(spark, d):
+    """Files archived in two arrivals: a later file of a hall and name replaces
+    the first, all others stay; bytes come back as they were digested."""
+    root = L.scratch_root(spark, "lake")
+    for first in (True, False):
+        WB.archive(FX.day_exports(spark, d, first), root)
+    return WB.read_archive(spark, root).select(
+        "hall_id", "src_file", F.hour("modificationTime").alias("exported_hour"), "length", "sha256",
+        (F.sha2("content", 256) == F.col("sha256")).alias("intact"))
+
+
 def q_run_outcomes(spark, d):
     """The run log of a run without cells, one that fails and one that ends."""
     root = L.scratch_root(spark, "lake")
@@ -456,6 +468,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_daily_totals_range_edge": q_lake_daily_totals_range_edge,
         "lake_peak_drilldown_range": q_lake_peak_drilldown_range,
         "lake_two_arrivals": q_lake_two_arrivals,
+        "lake_archive": q_lake_archive,
         "run_outcomes": q_run_outcomes,
         "foreign_hall_folders": q_foreign_hall_folders,
         "gold_single_files": q_gold_single_files,
@@ -971,6 +984,14 @@ n AS (SELECT (SELECT count(*) FROM cells) AS cells_rows,
         sql[f"lake_{name}"] = sql[name]
     halls = ", ".join("'" + re.search(r"H\d+", f)[0] + "'" for f in SECOND_ARRIVAL)
     sql["lake_two_arrivals"] = _drill_sql(_F3_SILVER) + f" SELECT {_DRILL_COLS}, hall_id IN ({halls}) AS rewritten FROM drill"
+    hall_no = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.F3_HALL_NO.items())
+    sql["lake_archive"] = f"""WITH files AS (
+  SELECT 'H' || CASE event_type {hall_no} END AS hall_id, CAST(ts AS DATE) AS day, max(hour(ts)) AS last_hour,
+         string_agg(event_id || ';' || user_id || ';' || event_type, chr(10) ORDER BY event_id) AS txt
+  FROM events GROUP BY event_type, CAST(ts AS DATE))
+  SELECT hall_id, 'Export_' || hall_id || '_' || CAST(day AS VARCHAR) || '.xlsx' AS src_file,
+         CASE WHEN last_hour >= {FX.F4_FIRST_EXPORT} THEN 0 ELSE {FX.F4_FIRST_EXPORT} END AS exported_hour,
+         CAST(octet_length(encode(txt)) AS BIGINT) AS length, sha256(txt) AS sha256, true AS intact FROM files"""
     sql["run_outcomes"] = f"""WITH {_F3_CELLS},{_F3_VERDICT},
 exp AS ({_F3_SILVER_SELECT})
   SELECT CAST(1 AS BIGINT) AS run_no, 'skipped' AS status, CAST(NULL AS VARCHAR) AS failed_task,

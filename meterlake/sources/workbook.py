@@ -306,6 +306,12 @@ def archive_named(files: DataFrame, root: str) -> tuple[dict, list[tuple[str, st
     return m, names
 
 
+def read_archive(spark: SparkSession, root: str) -> DataFrame:
+    """Every archived workbook, as last written. Columns of ``ARCHIVE``."""
+    from .lake import layer_path
+    return spark.read.schema(ARCHIVE).parquet(layer_path(root, "files"))
+
+
 def archived(spark: SparkSession, root: str, names: list[tuple[str, str]]) -> DataFrame:
     """The archived workbooks of the given (hall, file) names: only their
     folders are listed and read. Columns of ``ARCHIVE`` and ``path``."""
