@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +27,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder on the storage that the driver and all executors share."""
-    return f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+# Folders made since the innermost open ``scratch_removed`` began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to shared storage and read again: lineage is cut, and a
-    lost executor costs only its running tasks."""
-    path = scratch(df.sparkSession, name)
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder on the storage that the driver and all executors share."""
+    path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders; those that are not there are passed over."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch folders made inside are deleted at the end, also after a
+    failure. Take a folder out of the list to keep it. What is read later must
+    not stand on the others: write it inside, to a folder that is kept."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        remove(spark, made)
+
+
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written to shared storage (``path``, or a new folder) and read
+    again: lineage is cut, and a lost executor costs only its running tasks."""
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
