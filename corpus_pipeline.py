@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm import exact_dedup, langid, mixing, packing, simhash
-from meterlake.llm.common import DOC_COLUMNS, keep_rows, stage, table
+from meterlake.llm.common import DOC_COLUMNS, keep_rows, remove, scratch, scratch_removed, stage, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, f in STAGES[:-1]:
-        docs = stage(f(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The rows of the last stage. Tables that a stage makes on its way go when
+    its own rows are written, and those rows when the next stage's are, so two
+    stages are stored at a time; after a failure nothing is left."""
+    docs, stored = table(spark, sf_dir, "documents"), []
+    try:
+        for name, f in STAGES[:-1]:
+            path = scratch(spark, name)
+            stored.append(path)
+            with scratch_removed(spark):
+                docs = stage(f(spark, docs, sf_dir), name, path)
+            remove(spark, stored[:-1])
+            stored = [path]
+        return STAGES[-1][1](spark, docs, sf_dir)
+    except BaseException:
+        remove(spark, stored)
+        raise
