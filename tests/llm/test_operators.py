@@ -4,6 +4,7 @@ tables, extra columns whose names clash with the operators' own."""
 
 import base64
 import hashlib
+import os
 import random
 import re
 import textwrap
@@ -15,7 +16,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline as CP
-from meterlake.llm import (boosting, exact_dedup, langid, licenses, mixing, packing, pii, registry, simhash, sketch,
+from meterlake.llm import (boosting, common, exact_dedup, langid, licenses, mixing, packing, pii, registry, simhash, sketch,
                            url_rules, warc)
 from meterlake.llm.components import components
 from meterlake.llm.fuse import BinaryFuse8
@@ -836,3 +837,44 @@ def test_a_very_long_host(spark):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = url_rules.judge(pages, url_rules.rule_table(spark), ["page_id"]).orderBy("page_id").collect()
     assert [r["rule"] for r in got] == ["example.org/en/1", None, "com/fr/"]
+
+
+def test_scratch_tables_are_removed(spark, tmp_path):
+    there = lambda p: os.path.isdir(p.removeprefix("file:"))
+    with common.scratch_removed(spark) as made:
+        gone = common.scratch(spark, "gone")
+        spark.range(3).write.parquet(gone)
+        kept = common.scratch(spark, "kept")
+        spark.range(3).write.parquet(kept)
+        assert made == [gone, kept]
+        common.scratch(spark, "never_written")
+        made.remove(kept)
+    assert not there(gone) and there(kept)
+    with pytest.raises(ValueError):
+        with common.scratch_removed(spark):
+            lost = common.scratch(spark, "lost")
+            spark.range(3).write.parquet(lost)
+            raise ValueError
+    assert not there(lost)
+    assert there(kept) and common._made.get() is None
+
+
+def test_pipeline_leaves_its_last_tables_only(spark, tmp_path, monkeypatch):
+    texts = [f"the small words of text {i} are these and they are many" for i in range(20)]
+    d = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)],
+                              "doc_id long, text string, lang string, source string, n_chars int")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    base = f"{spark.conf.get('spark.checkpoint.dir')}/llm"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    rows = CP.run(spark, str(tmp_path)).collect()
+    assert {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before} == {"poisson_mix", "pieces"}
+    assert rows
+    before = set(os.listdir(base))
+
+    def fails(spark, docs, sf_dir):
+        common.stage(docs, "half")
+        raise ValueError("lost")
+    monkeypatch.setattr(CP, "STAGES", [*CP.STAGES[:2], ("broken", fails), CP.STAGES[-1]])
+    with pytest.raises(ValueError):
+        CP.run(spark, str(tmp_path))
+    assert set(os.listdir(base)) == before
