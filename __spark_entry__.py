@@ -990,7 +990,7 @@ n AS (SELECT (SELECT count(*) FROM cells) AS cells_rows,
          string_agg(event_id || ';' || user_id || ';' || event_type, chr(10) ORDER BY event_id) AS txt
   FROM events GROUP BY event_type, CAST(ts AS DATE))
   SELECT hall_id, 'Export_' || hall_id || '_' || CAST(day AS VARCHAR) || '.xlsx' AS src_file,
-         CASE WHEN last_hour >= {FX.F4_FIRST_EXPORT} THEN 0 ELSE {FX.F4_FIRST_EXPORT} END AS exported_hour,
+         CASE WHEN last_hour >= {FX.F5_FIRST_EXPORT} THEN 0 ELSE {FX.F5_FIRST_EXPORT} END AS exported_hour,
          CAST(octet_length(encode(txt)) AS BIGINT) AS length, sha256(txt) AS sha256, true AS intact FROM files"""
     sql["run_outcomes"] = f"""WITH {_F3_CELLS},{_F3_VERDICT},
 exp AS ({_F3_SILVER_SELECT})

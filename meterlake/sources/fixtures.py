@@ -233,16 +233,16 @@ def cells(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
                       F.col("c.value").alias("value"), F.col("c.kind").alias("kind"))
 
 
-# --------------------------------------------------------------------- F4
+# --------------------------------------------------------------------- F5
 # Fixed value of the exports fixture: the hour of the day's first export.
-F4_FIRST_EXPORT = 18
+F5_FIRST_EXPORT = 18
 
 
 def day_exports(spark: SparkSession, sf_dir: str, first: bool) -> DataFrame:
     """Events as files in the columns of ``binaryFile``, one per event type and
     day, one line per event. The first export holds what came before its hour;
     days with later events are exported again, whole, at midnight."""
-    late = F.hour("ts") >= F4_FIRST_EXPORT
+    late = F.hour("ts") >= F5_FIRST_EXPORT
     ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     line = F.concat_ws(";", "event_id", "user_id", "event_type")
     files = (ev.where(~late) if first else ev).groupBy("event_type", "day").agg(
@@ -250,7 +250,7 @@ def day_exports(spark: SparkSession, sf_dir: str, first: bool) -> DataFrame:
     hall_no = F.create_map(*[x for k, v in F3_HALL_NO.items() for x in (F.lit(k), F.lit(v))])
     name = F.concat(F.lit("in/Export_H"), hall_no[F.col("event_type")].cast("string"), F.lit("_"),
                     F.col("day").cast("string"), F.lit(".xlsx"))
-    at = F.timestamp_add("HOUR", F.lit(F4_FIRST_EXPORT if first else 24), F.col("day").cast("timestamp_ntz"))
+    at = F.timestamp_add("HOUR", F.lit(F5_FIRST_EXPORT if first else 24), F.col("day").cast("timestamp_ntz"))
     content = F.encode(F.array_join(F.col("lines.line"), "\n"), "UTF-8")
     files = files.where(F.lit(True) if first else F.col("late"))
     return files.select(name.alias("path"), at.cast("timestamp").alias("modificationTime"),
