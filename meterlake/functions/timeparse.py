@@ -37,16 +37,24 @@ def _build(parts: Column, y: int, mo: int, d: int) -> Column:
         _num(parts, 3, default=0), _num(parts, 4, default=0), sec)
 
 
+def _once(c: Column, of) -> Column:
+    """``of(c)`` with ``c`` computed once a row, however often ``of`` names it:
+    a plain expression is computed again at every mention inside a branch."""
+    return F.get(F.transform(F.array(c), of), 0)
+
+
+def _wall(local: Column) -> Column:
+    return _once(F.regexp_extract_all(local, F.lit(r"(\d+)"), 1), lambda parts: (
+        F.when(local.rlike(ISO_RE), _build(parts, 0, 1, 2))
+        .when(local.rlike(DAYFIRST_RE), _build(parts, 2, 1, 0))))
+
+
 def parse_reading_time(text: Column) -> Column:
     """Anchored pattern tests decide the layout; the digit groups come from
     one ``regexp_extract_all`` pass, so a row costs a few regex evaluations
     (not one per date part)."""
-    zoned = text.rlike(ZONE_RE)
-    local = F.when(zoned, F.regexp_replace(text, ZONE_RE, "$1")).otherwise(text)
-    parts = F.regexp_extract_all(local, F.lit(r"(\d+)"), 1)
-    wall = (F.when(local.rlike(ISO_RE), _build(parts, 0, 1, 2))
-            .when(local.rlike(DAYFIRST_RE), _build(parts, 2, 1, 0)))
     part = lambda i: F.coalesce(F.regexp_extract(text, ZONE_RE, i).try_cast("int"), F.lit(0))
     minutes = (part(3) * 60 + part(4)) * F.when(F.regexp_extract(text, ZONE_RE, 2) == "-", -1).otherwise(1)
     # the offset is subtracted only where one is given
-    return F.when(zoned, wall - F.make_dt_interval(mins=minutes)).otherwise(wall)
+    return F.when(text.rlike(ZONE_RE), _once(F.regexp_replace(text, ZONE_RE, "$1"), _wall) - F.make_dt_interval(mins=minutes)) \
+        .otherwise(_wall(text))

@@ -305,7 +305,10 @@ def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False,
     # so a map-side partial collect_list would not shrink anything and would
     # run (sort-based, spilling) inside whatever task read the cells - all of
     # them when the input is one unsplittable file. After this exchange the
-    # grouping needs no other one; a hot sheet spreads over its rows.
+    # grouping needs no other one; a hot sheet spreads over its rows. The
+    # grouping sorts by its keys in their order, and beyond the few rows of a
+    # table in memory it always sorts: the row number first, which tells most
+    # rows apart by a number, where file names mostly begin alike.
     if profile is not None:
         # the side has at most one row per profile row: broadcast it behind
         # that bound, so the cells are shuffled once (below), not twice
@@ -313,12 +316,12 @@ def records(cells: DataFrame, kept: DataFrame, *, decimal_comma: bool = False,
     d = data_cells(cells).join(side, [*S, "col_no"]).repartition(*S, "row_no")
     is_t = F.coalesce(F.col("_is_t"), F.lit(False))
     is_v = F.coalesce(F.col("_is_v"), F.lit(False))
-    return d.groupBy(*S, "row_no").agg(
+    return d.groupBy("row_no", *S).agg(
         F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("cells"),
         F.max(F.when(is_t, F.col("value"))).alias("timestamp_raw"),
         F.max(F.when(is_t, F.col("kind"))).alias("timestamp_kind"),
         F.max(F.when(is_v, to_number(F.col("value"), decimal_comma))).alias("value"),
-    )
+    ).select(*S, "row_no", "cells", "timestamp_raw", "timestamp_kind", "value")
 
 
 # Whole chain ------------------------------------------------------------------

@@ -85,6 +85,29 @@ def test_silver_parses_each_time_text_once(spark, q):
     assert "Generate explode" in p
 
 
+def test_time_text_is_taken_apart_once_a_row(spark):
+    """The digit groups are bound to a name: one extraction for texts with an
+    offset, one for those without, not one for every date part."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from meterlake.functions.timeparse import parse_reading_time
+    rows = [(t,) for t in ("31.12.2024 23:59:60", "2024-02-29T24:00", "1.2.69 7:8", "2024-07-10 00:15:00.1234567+0530", "30.02.2024", " ", None)]
+    df = spark.createDataFrame(rows, "t string").select(parse_reading_time(F.col("t")).alias("at"))
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("regexp_extract_all") <= 2, p
+    assert [r.at for r in df.collect()] == [
+        dt.datetime(2025, 1, 1), None, dt.datetime(1969, 2, 1, 7, 8), dt.datetime(2024, 7, 9, 18, 45, 0, 123457), None, None, None]
+
+
+def test_records_sort_by_row_number_first(spark):
+    from meterlake.operators.grid import bronze_from, column_profile
+    from meterlake.sources import fixtures as FX
+    cells = FX.cells(spark, SF)
+    df = bronze_from(cells, column_profile(cells))
+    grouped = [ln for ln in plan_of(df).splitlines() if "ObjectHashAggregate(" in ln and "to_number" not in ln and "row_no" in ln]
+    assert grouped and all("keys=[row_no" in ln for ln in grouped), grouped
+
+
 def test_series_join_does_not_shuffle_the_fact(spark):
     from meterlake.plans import drilldown as D
     from meterlake.plans import pipeline as P
